@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from claimforge.llm.mixing import OP4_SQL, op4_source_mixing
+from claimforge.llm.packing import op8_best_fit_packing
 from claimforge.llm.token_counts import op3_token_counts
 
 QUERIES = {
     "op3_token_counts": op3_token_counts,
+    "op4_source_mixing": op4_source_mixing,
+    "op8_best_fit_packing": op8_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_source_mixing": OP4_SQL}

@@ -36,9 +36,9 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
         .withColumn("cap", F.col("source_size") * float(most))
         .withColumn("total", F.sum("source_size").over(everything) * share)
         .withColumn("level_here", level)
-        # the first source, in the order of the caps, that its level leaves under its cap sets the level of all
-        .withColumn("level", F.min(F.when(F.col("level_here") * F.col("weight") <= F.col("cap"), F.col("level_here"))).over(everything))
-        .withColumn("target", F.coalesce(F.least("cap", F.col("level") * F.col("weight")), F.col("cap")))
+        # capping a source that is over its cap raises the level, capping another lowers it: the level is the greatest
+        .withColumn("level", F.max("level_here").over(everything))
+        .withColumn("target", F.least("cap", F.col("level") * F.col("weight")))
         .select("source", "source_size", "target")
     )
 
@@ -119,7 +119,7 @@ s as (select source, sum(size)::bigint as source_size from sized group by 1),
 w as (select *, [5.0, 2.0, 1.0][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int]::double as weight, source_size * 3.0::double as cap from s),
 l as (select *, (sum(source_size) over () - coalesce(sum(cap) over (order by cap / weight, source nulls last rows between unbounded preceding and 1 preceding), 0))::double
     / sum(weight) over (order by cap / weight, source nulls last rows between current row and unbounded following) as here from w),
-t as (select source, source_size, coalesce(least(cap, weight * min(case when here * weight <= cap then here end) over ()), cap) as target from l),
+t as (select source, source_size, least(cap, weight * max(here) over ()) as target from l),
 r as (select *, case when source_size > 0 then target / source_size else 0 end as rate from t),
 d as (select doc_id, sized.source, size, source_size, target, rate, ('0x' || substr(h, 1, 8))::bigint as a, ('0x' || substr(h, 9, 8))::bigint as b
   from sized join r on sized.source is not distinct from r.source),

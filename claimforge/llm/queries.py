@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from claimforge.llm.jaccard_join import op10_ngram_jaccard_join
 from claimforge.llm.mixing import OP4_SQL, op4_source_mixing
 from claimforge.llm.packing import op8_best_fit_packing
 from claimforge.llm.token_counts import op3_token_counts
@@ -10,6 +11,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_source_mixing": op4_source_mixing,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {"op4_source_mixing": OP4_SQL}

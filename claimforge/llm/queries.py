@@ -6,12 +6,14 @@ from claimforge.llm.jaccard_join import op10_ngram_jaccard_join
 from claimforge.llm.mixing import OP4_SQL, op4_source_mixing
 from claimforge.llm.packing import op8_best_fit_packing
 from claimforge.llm.token_counts import op3_token_counts
+from claimforge.llm.toxicity import op1_toxicity
 
 QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_source_mixing": op4_source_mixing,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op1_toxicity": op1_toxicity,
 }
 
 ORACLES: dict[str, str] = {"op4_source_mixing": OP4_SQL}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from claimforge.llm.jaccard_join import op10_ngram_jaccard_join
+from claimforge.llm.language_id import op6_language_id
 from claimforge.llm.mixing import OP4_SQL, op4_source_mixing
 from claimforge.llm.packing import op8_best_fit_packing
 from claimforge.llm.token_counts import op3_token_counts
@@ -14,6 +15,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op1_toxicity": op1_toxicity,
+    "op6_language_id": op6_language_id,
 }
 
 ORACLES: dict[str, str] = {"op4_source_mixing": OP4_SQL}

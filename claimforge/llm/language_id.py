@@ -66,11 +66,32 @@ def hashes(a: np.ndarray, order: int) -> list[np.ndarray]:
     return out
 
 
+class Sorted:
+    """A sorted array of hashes; hashes are uniform, so their top bits tell nearly where they are."""
+
+    BITS = 18
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.append(keys, np.iinfo(np.uint64).max)
+        top = (keys >> np.uint64(64 - self.BITS)).astype(np.int64)
+        self.start = np.searchsorted(top, np.arange(1 << self.BITS)).astype(np.int32)
+        self.longest = int(np.bincount(top, minlength=1).max()) if len(keys) else 0
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each hash is, and whether it is there at all."""
+        i = self.start.take((h >> np.uint64(64 - self.BITS)).astype(np.int32))
+        for _ in range(self.longest):
+            i = i + (self.keys.take(i) < h)
+        return i, self.keys.take(i) == h
+
+
 class Model:
     """Languages, their calibration, and for each order sorted hashes with log2-probabilities."""
 
     def __init__(self, languages: list[str], tables: list[tuple[np.ndarray, np.ndarray]], backoff: list[tuple[np.ndarray, np.ndarray]], floor: np.ndarray):
-        self.languages, self.tables, self.backoff, self.floor = languages, tables, backoff, floor
+        self.languages, self.floor = languages, floor
+        self.tables = [(Sorted(k), v) for k, v in tables]
+        self.backoff = [(Sorted(k), v) for k, v in backoff]
         self.slope, self.ceiling = 30.0, np.full(len(languages), np.inf)
 
     def bits(self, a: np.ndarray) -> np.ndarray:
@@ -83,21 +104,15 @@ class Model:
             at = np.arange(len(hs[0]))
             for n in range(order, 0, -1):  # places whose n-gram no language has seen go on to the shorter one
                 keys, logs = self.tables[n - 1]
-                if not len(at) or not len(keys):
-                    continue
-                h = hs[n - 1][at]
-                i = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-                hit = keys[i] == h
-                total -= logs[i[hit]].sum(0)
+                if not len(at):
+                    break
+                i, hit = keys.find(hs[n - 1][at] if n < order else hs[n - 1])
+                total -= logs.take(i[hit], 0).sum(0)
                 at = at[~hit]
                 if n > 1 and len(at):  # the weight that an unseen character has after this context
-                    ctx, weight = self.backoff[n - 1]
-                    before = at[at > 0] - 1
-                    c = hs[n - 2][before]
-                    if len(ctx):
-                        j = np.minimum(np.searchsorted(ctx, c), len(ctx) - 1)
-                        seen = ctx[j] == c
-                        total -= weight[j[seen]].sum(0)
+                    contexts, weight = self.backoff[n - 1]
+                    j, seen = contexts.find(hs[n - 2][at[at > 0] - 1])
+                    total -= weight.take(j[seen], 0).sum(0)
             total -= len(at) * self.floor
         return total
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from claimforge.llm.attention_lm import op9_lm_scoring
 from claimforge.llm.jaccard_join import op10_ngram_jaccard_join
 from claimforge.llm.language_id import op6_language_id
 from claimforge.llm.mixing import OP4_SQL, op4_source_mixing
@@ -16,6 +17,7 @@ QUERIES = {
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op1_toxicity": op1_toxicity,
     "op6_language_id": op6_language_id,
+    "op9_lm_scoring": op9_lm_scoring,
 }
 
 ORACLES: dict[str, str] = {"op4_source_mixing": OP4_SQL}

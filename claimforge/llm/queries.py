@@ -5,6 +5,7 @@ from __future__ import annotations
 from claimforge.llm.attention_lm import op9_lm_scoring
 from claimforge.llm.jaccard_join import op10_ngram_jaccard_join
 from claimforge.llm.language_id import op6_language_id
+from claimforge.llm.line_dedup import op2_line_dedup
 from claimforge.llm.mixing import OP4_SQL, op4_source_mixing
 from claimforge.llm.packing import op8_best_fit_packing
 from claimforge.llm.token_counts import op3_token_counts
@@ -18,6 +19,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op6_language_id": op6_language_id,
     "op9_lm_scoring": op9_lm_scoring,
+    "op2_line_dedup": op2_line_dedup,
 }
 
 ORACLES: dict[str, str] = {"op4_source_mixing": OP4_SQL}

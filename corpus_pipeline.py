@@ -1,16 +1,68 @@
-"""The corpus pipeline: the stages that turn raw documents into packed training sequences."""
+"""The corpus pipeline: the stages that turn raw documents into packed training sequences.
+
+Every stage takes ``(spark, docs, sf_dir)`` and works on all that the one before it kept. All but the
+last return the columns of ``documents``; the last returns the places of token pieces in sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from claimforge.llm.common import store
+from claimforge.llm.jaccard_join import one_of_each
+from claimforge.llm.line_dedup import dedup_lines
+from claimforge.llm.mixing import mixed_documents
+from claimforge.llm.packing import pack
+from claimforge.llm.toxicity import toxicity
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, learnt from labels outside the held-out fold, rejects go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    scored = toxicity(docs.withColumn("body", F.col("text")), labels)
+    kept = scored.filter("predicted = 0").withColumnRenamed("body", "text")
+    return kept.select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go, and documents all of whose words were in such lines; ``n_chars`` follows the text."""
+    cut = dedup_lines(docs)
+    emptied = (F.size("removed") > 0) & ~F.col("text").rlike(r"\S")
+    left = cut.filter(~F.coalesce(emptied, F.lit(False)))
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, that of the least id."""
+    return one_of_each(docs).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are repeated so that sources come near their target weights."""
+    return mixed_documents(docs).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return pack(docs.select("doc_id", "text"))
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_jaccard_join", keep_one_of_each),
+    ("source_mixing", mix_sources),
+    ("best_fit_packing", pack_sequences),
+]
 
 #: SQL cannot express the learnt and the fuzzy stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``, each one's result stored for the next."""
+    """Apply the stages to ``documents``; each one's result is written and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = store(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

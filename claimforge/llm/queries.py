@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from claimforge.llm.attention_lm import op9_lm_scoring
+from claimforge.llm.exact_topk import OP7_SQL, op7_exact_topk
 from claimforge.llm.jaccard_join import op10_ngram_jaccard_join
 from claimforge.llm.language_id import op6_language_id
 from claimforge.llm.line_dedup import op2_line_dedup
 from claimforge.llm.mixing import OP4_SQL, op4_source_mixing
+from claimforge.llm.multi_index import op5_multi_index_ann
 from claimforge.llm.packing import op8_best_fit_packing
 from claimforge.llm.token_counts import op3_token_counts
 from claimforge.llm.toxicity import op1_toxicity
@@ -20,6 +22,8 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op9_lm_scoring": op9_lm_scoring,
     "op2_line_dedup": op2_line_dedup,
+    "op5_multi_index_ann": op5_multi_index_ann,
+    "op7_exact_topk": op7_exact_topk,
 }
 
-ORACLES: dict[str, str] = {"op4_source_mixing": OP4_SQL}
+ORACLES: dict[str, str] = {"op4_source_mixing": OP4_SQL, "op7_exact_topk": OP7_SQL}

@@ -2,7 +2,5 @@
 
 from __future__ import annotations
 
-from claimforge.opsuite import marts
-
-QUERIES = {**marts.QUERIES}
-ORACLES = {**marts.ORACLES}
+from claimforge.opsuite import aggregates, events, filters, joins, marts, text, updates, windows  # noqa: F401  they register their queries
+from claimforge.opsuite.registry import ORACLES, QUERIES  # noqa: F401

@@ -2,9 +2,10 @@
 
 1. Every line is normalised to lower-case words; equal word sequences are one node, by a 64-bit hash.
 2. A node of five words or more has a 64-bit SimHash of its words. The signature has five blocks, and
-   two within Hamming distance 3 agree on at least two of them: nodes are joined on the ten pairs of
-   blocks, each pair of nodes in the first table where it meets.
-3. Pairs within that distance are verified by edit similarity of the normalised lines.
+   two within Hamming distance 3 agree on at least two of them: nodes meet in ten tables, one for each
+   pair of blocks.
+3. Pairs within that distance are verified by edit similarity of the normalised lines: first those
+   with the least and the greatest node of a bucket, then all that these links leave in different groups.
 4. Components of the verified pairs, and equal lines, are groups; of each group the first occurrence
    stays (least id, then least line number).
 """
@@ -14,7 +15,7 @@ from __future__ import annotations
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimforge.llm.common import connected_components, discard, store
@@ -23,7 +24,7 @@ MIN_WORDS = 5
 SIMILARITY = 0.8
 DISTANCE = 3
 #: Characters up to which edits are counted by character.
-LONG = 2_000
+LONG = 300
 #: (first bit, bits) of the blocks.
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 TABLES = tuple(combinations(range(len(BLOCKS)), 2))
@@ -49,7 +50,7 @@ def lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, dh, th, pos, node, n, sim) of all lines that have a word.
+    """(doc_id, dh, th, pos, node, n, chars, sim) of all lines that have a word.
 
     Counts of 64 bits are kept as 32 sums, each of which holds two of them in its halves.
     """
@@ -63,10 +64,11 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         .withColumn("h", F.xxhash64("word", F.lit(7)))
     )
     halves = F.lit(0x0000000100000001)
-    sums = each.groupBy("doc_id", "dh", "th", "pos", "node", "n").agg(*(F.sum(F.shiftrightunsigned("h", i).bitwiseAND(halves)).alias(f"s{i}") for i in range(32)))
+    chars = (F.sum(F.length("word")) + F.max("n") - 1).cast("int").alias("chars")
+    sums = each.groupBy("doc_id", "dh", "th", "pos", "node", "n").agg(chars, *(F.sum(F.shiftrightunsigned("h", i).bitwiseAND(halves)).alias(f"s{i}") for i in range(32)))
     bit = lambda count, j: F.shiftleft((count * 2 > F.col("n")).cast("long"), j)
     bits = [bit(F.col(f"s{i}").bitwiseAND(F.lit(0xFFFFFFFF)), i) for i in range(32)] + [bit(F.shiftrightunsigned(f"s{i}", 32), i + 32) for i in range(32)]
-    return sums.select("doc_id", "dh", "th", "pos", "node", "n", reduce(Column.bitwiseOR, bits).alias("sim"))
+    return sums.select("doc_id", "dh", "th", "pos", "node", "n", "chars", reduce(Column.bitwiseOR, bits).alias("sim"))
 
 
 def block(sim: Column, k: int) -> Column:
@@ -74,17 +76,50 @@ def block(sim: Column, k: int) -> Column:
     return F.shiftrightunsigned(sim, first).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def close_pairs(nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes, a < b, within the Hamming distance; each pair once."""
+def buckets(nodes: DataFrame) -> DataFrame:
+    """(key, node, sim, size, low, high) for every node in every bucket it shares with another.
+
+    ``size`` packs words and characters; ``low`` and ``high`` are the least and the greatest node of the
+    bucket with their sims and sizes.
+    """
     sim = F.col("sim")
     keys = [F.shiftleft(F.lit(t).cast("long"), 32).bitwiseOR(F.shiftleft(block(sim, i), 13)).bitwiseOR(block(sim, j)) for t, (i, j) in enumerate(TABLES)]
-    keyed = nodes.select("node", "sim", F.explode(F.array(*keys)).alias("key"))
-    a, b = keyed.alias("a"), keyed.alias("b")
+    size = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("chars").cast("long")).alias("size")
+    w = Window.partitionBy("key")
+    entry = F.struct("node", "sim", "size")
+    keyed = nodes.select("node", "sim", size, F.explode(F.array(*keys)).alias("key"))
+    return keyed.withColumns({"low": F.min(entry).over(w), "high": F.max(entry).over(w)}).filter("low.node <> high.node")
+
+
+def close(a: str, b: str, similarity: float) -> Column:
+    """Whether two entries are within the Hamming distance and their lengths allow the similarity."""
+    x, y = F.col(f"{a}size"), F.col(f"{b}size")
+    chars = [s.bitwiseAND(F.lit(0xFFFFFFFF)) for s in (x, y)]
+    n = [F.shiftright(s, 32) for s in (x, y)]
+    allow = lambda p, q: F.least(p, q) >= F.greatest(p, q) * similarity - 1e-9
+    return (F.bit_count(F.col(f"{a}sim").bitwiseXOR(F.col(f"{b}sim"))) <= DISTANCE) & F.when(F.greatest(*chars) <= LONG, allow(*chars)).otherwise(allow(*n))
+
+
+def leader_pairs(shared: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): every node with the least and the greatest of its buckets, where they are close."""
+    ends = [
+        shared.filter((F.col("node") != F.col(f"{end}.node")) & close("", f"{end}.", similarity)).select(F.least("node", f"{end}.node").alias("a"), F.greatest("node", f"{end}.node").alias("b"))
+        for end in ("low", "high")
+    ]
+    return ends[0].union(ends[1]).distinct()
+
+
+def crossing_pairs(shared: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): all close pairs of nodes that the links so far leave in different groups; each once."""
+    w = Window.partitionBy("key")
+    rooted = shared.select("key", "node", "sim", "size").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = rooted.withColumns({"least": F.min("root").over(w), "most": F.max("root").over(w)}).filter("least <> most").drop("least", "most")
+    a, b = open_.alias("a"), open_.alias("b")
     differ = F.col("a.sim").bitwiseXOR(F.col("b.sim"))
     agree = [block(differ, k) == 0 for k in range(len(BLOCKS))]
     first = reduce(lambda c, t: c.when(agree[TABLES[t][0]] & agree[TABLES[t][1]], t), range(1, len(TABLES)), F.when(agree[0] & agree[1], 0))
-    meet = (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.bit_count(differ) <= DISTANCE)
-    return a.join(b, meet & (first == F.shiftright(F.col("a.key"), 32))).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    meet = (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.root") != F.col("b.root"))
+    return a.join(b, meet & close("a.", "b.", similarity) & (first == F.shiftright(F.col("a.key"), 32))).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
 
 
 def as_characters(line: Column) -> Column:
@@ -116,12 +151,13 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
     """(dh, th, removed): the numbers of the lines to remove of each row that has any."""
     occurrences = store(signatures(docs, doc_id, text), "lines")
     nodes = store(
-        occurrences.groupBy("node").agg(F.min(F.struct("doc_id", "dh", "th", "pos")).alias("first"), F.count("*").alias("times"), F.max("n").alias("n"), F.max("sim").alias("sim")),
+        occurrences.groupBy("node").agg(F.min(F.struct("doc_id", "dh", "th", "pos")).alias("first"), F.count("*").alias("times"), F.max("n").alias("n"), F.max("chars").alias("chars"), F.max("sim").alias("sim")),
         "line-nodes",
     )
-    pairs = store(close_pairs(nodes.filter(F.col("n") >= MIN_WORDS)), "line-pairs")
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = store(nodes.join(ends, "node").groupBy("first.dh", "first.th").agg(F.collect_list(F.struct(F.col("first.pos").alias("pos"), "node")).alias("at")), "wanted")
+    shared = store(buckets(nodes.filter(F.col("n") >= MIN_WORDS)), "line-buckets")
+    wanted = store(
+        nodes.join(shared.select("node").distinct(), "node").groupBy("first.dh", "first.th").agg(F.collect_list(F.struct(F.col("first.pos").alias("pos"), "node")).alias("at")), "wanted"
+    )
     keyed = docs.select(F.xxhash64(F.col(doc_id).cast("string")).alias("dh"), F.xxhash64(F.col(text)).alias("th"), F.split(F.col(text), "\n").alias("all"))
     texts = store(
         keyed.join(sided(wanted), ["dh", "th"])
@@ -130,8 +166,15 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
         .dropDuplicates(["node"]),
         "line-texts",
     )
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("line").alias("y")), "b")
-    roots = connected_components(both.filter(within(F.col("x"), F.col("y"), similarity)).select("a", "b"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        ends = [texts.select(F.col("node").alias(k), F.col("line").alias(v)) for k, v in (("a", "x"), ("b", "y"))]
+        return pairs.join(ends[0], "a").join(ends[1], "b").filter(within(F.col("x"), F.col("y"), similarity)).select("a", "b")
+
+    # links inside a group cannot change it, so only pairs across groups are tested after the first
+    links = store(verified(leader_pairs(shared, similarity)), "links")
+    crossing = crossing_pairs(shared, connected_components(links), similarity)
+    roots = connected_components(links.unionByName(verified(crossing)))
     grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     linked = grouped.join(roots.select("root").distinct(), "root", "left_semi")
     keepers = linked.groupBy("root").agg(F.min("first").alias("keep"))
@@ -144,7 +187,7 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
     o, r = occurrences.alias("o"), repeated.alias("r")
     gone = o.join(r, F.col("o.node") == F.col("r.node")).filter("not (o.dh = r.dh and o.th = r.th and o.pos = r.pos)")
     out = store(gone.groupBy("o.dh", "o.th").agg(F.array_distinct(F.collect_list("o.pos")).alias("removed")), "removed-lines")
-    for made in (occurrences, nodes, pairs, wanted, texts):
+    for made in (occurrences, nodes, shared, wanted, texts, links):
         discard(made)
     return out
 

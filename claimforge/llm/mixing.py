@@ -99,8 +99,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """``docs``, all columns, with every row repeated as often as :func:`mix` takes it."""
-    ready = recipe(sizes(docs, doc_id, text, source), **options).select(F.col("source").alias("__source"), "rate", "seed")
-    n = copies(F.col("rate"), draw_key(doc_id), F.col("seed")).cast("int")
+    ready = recipe(sizes(docs, doc_id, text, source), **options).select(F.col("source").alias("__source"), F.col("rate").alias("__rate"), F.col("seed").alias("__seed"))
+    n = copies(F.col("__rate"), draw_key(doc_id), F.col("__seed")).cast("int")
     columns = [docs[c] for c in docs.columns]
     return docs.join(ready, docs[source].eqNullSafe(ready["__source"])).select(*columns, F.explode(F.array_repeat(F.lit(0), n)).alias("__copy")).drop("__copy")
 

@@ -33,6 +33,7 @@ def test_mix(spark):
     for s in ("a", "b", "c", None):
         mine = [r for r in got if r.source == s]
         assert abs(sum(r.taken for r in mine) / mine[0].target - 1) < 0.01
+    df = df.selectExpr("*", "1 as rate", "2 as seed", "3 as copies")
     out = mixed_documents(df)
     assert out.columns == df.columns and out.count() == sum(r["copies"] for r in got)
     assert mix(df.limit(0)).count() == 0 and mixed_documents(df.limit(0)).count() == 0

@@ -4,7 +4,8 @@ Every component has a list of the candidates sorted by it. A query reads each li
 its own component favours, in steps of equal depth. What it has read gives a lower bound of each
 candidate's score, with the lists' last entries for the unread rest, and an upper bound, with the
 entries last read. Once no more than a few candidates have an upper bound that reaches the k-th
-lower bound, reading stops and the scores of these are resolved.
+lower bound, reading stops and the scores of these are resolved. The queries of a block read in
+step, so their bounds at a depth are matrix products.
 
 Candidates and queries are dealt out in blocks; each pair of blocks is one task of bounded memory, and
 a query's best of all candidate blocks are merged.
@@ -25,59 +26,68 @@ from claimforge.llm.multi_index import matrix, usable
 SCALE = 64
 CANDIDATES, QUERIES = 16_384, 256
 #: Depths, as shares of the lists, after which bounds are compared.
-DEPTHS = (0.5, 0.8, 0.9, 0.96, 1.0)
+DEPTHS = (0.5, 0.88, 0.96, 1.0)
 #: Candidates, as a multiple of k, that are resolved instead of read on.
 RESOLVED = 16
 
 
 class Lists:
-    """The sorted lists of one block of candidates."""
+    """The sorted lists of one block of candidates, read by many queries in step."""
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
-        self.ids, self.values = ids, values
-        self.order = np.argsort(-values, axis=0, kind="stable").astype(np.int32)
-        self.sorted = np.take_along_axis(values, self.order, 0).astype(np.float64)
-
-    def top(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k best, by score and then smaller id; ``own`` is no candidate."""
-        n = len(self.ids)
-        used = np.flatnonzero(query)
-        q = query[used].astype(np.float64)
-        down, up = used[q > 0], used[q < 0]
-        q = np.concatenate([query[down], query[up]]).astype(np.float64)
-        # ends of the lists that a query reads towards: the least that each can add
-        least = np.concatenate([self.sorted[-1, down], self.sorted[0, up]]) * q
-        read, lower, seen = 0, np.zeros(n), np.zeros((n, len(q)), bool)
-        lists = np.arange(len(q))
-        out = self.ids == own
-        alive = np.flatnonzero(~out)
+        self.ids, self.values = ids, values.astype(np.float64)
+        self.sorted = np.sort(self.values, axis=0)
+
+    def bounds(self, queries: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds (candidate, query) once every list is read to ``depth`` entries.
+
+        A query reads a list from the end that its component favours. What it has not read lies
+        between the entry last read and the list's other end. Each bound is one product for all
+        queries, from the entries read and, in the place of unread ones, what bounds them.
+        """
+        v, n = self.values, len(self.ids)
+        low, high = np.zeros((n, len(queries))), np.zeros((n, len(queries)))
+        for q, front, end, read in (
+            (np.maximum(queries, 0), self.sorted[n - depth], self.sorted[0], np.greater_equal),
+            (np.minimum(queries, 0), self.sorted[depth - 1], self.sorted[-1], np.less_equal),
+        ):
+            seen = read(v, front)
+            low += np.where(seen, v, end) @ q.T
+            high += np.where(seen, v, front) @ q.T
+        return low, high
+
+    def top(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (ids, scores) of the k best, by score and then smaller id; ``own`` is no candidate."""
+        n, queries = len(self.ids), queries.astype(np.float64)
+        out: list = [None] * len(queries)
+        left = np.arange(len(queries))
         for share in DEPTHS:
-            depth = n if share == 1 else int(n * share)
-            if depth > read and len(q):
-                a, b = slice(read, depth), slice(n - depth, n - read)
-                at = np.concatenate([self.order[a, down], self.order[b, up][::-1]], 1)
-                gain = np.concatenate([self.sorted[a, down], self.sorted[b, up][::-1]], 1) * q
-                lower += np.bincount(at.ravel(), gain.ravel(), n)
-                seen[at, lists] = True
-                front, read = gain[-1], depth
-                if depth < n:
-                    unseen = ~seen
-                    low, high = lower + unseen @ least, lower + unseen @ front
-                    low[out] = -np.inf
-                    if n > k:
-                        bar = np.partition(low, n - k)[n - k]
-                        # a margin for the rounding of sums of doubles
-                        alive = np.flatnonzero((high >= bar - 1e-9 * (1 + abs(bar))) & ~out)
-                    if len(alive) <= RESOLVED * k:
-                        break
+            depth = max(1, int(n * share))
+            if share == 1:
+                low = high = self.values @ queries[left].T
+            else:
+                low, high = self.bounds(queries[left], depth)
+            going = []
+            for column, i in enumerate(left.tolist()):
+                other = self.ids != own[i]
+                bar, top = np.where(other, low[:, column], -np.inf), high[:, column]
+                if n > k:
+                    least = np.partition(bar, n - k)[n - k]
+                    # a margin for the rounding of sums of doubles
+                    alive = np.flatnonzero((top >= least - 1e-9 * (1 + abs(least))) & other)
+                else:
+                    alive = np.flatnonzero(other)
+                if share < 1 and len(alive) > RESOLVED * k:
+                    going.append(i)
                     continue
-            if len(q) and n > k:
-                low = np.where(out, -np.inf, lower)
-                bar = np.partition(low, n - k)[n - k]
-                alive = np.flatnonzero(low >= bar - 1e-9 * (1 + abs(bar)))
-        scores = self.values[alive] @ query
-        best = np.lexsort((self.ids[alive], -scores))[:k]
-        return self.ids[alive][best], scores[best]
+                # integers below 2 ** 63 again: products of components may be beyond the exact doubles
+                scores = self.values[alive].astype(np.int64) @ queries[i].astype(np.int64)
+                best = np.lexsort((self.ids[alive], -scores))[:k]
+                out[i] = (self.ids[alive][best], scores[best])
+            left = np.array(going, np.int64)
+            if not len(left):
+                break
+        return out
 
 
 def top_k(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = SCALE, candidates: int = CANDIDATES, queries: int = QUERIES) -> DataFrame:
@@ -104,11 +114,11 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_i
         ids, scores, owners = [], [], []
         if left.num_rows and right.num_rows:
             lists = Lists(left.column("vec_id").to_numpy(), whole(left.column("vec")))
-            for own, query in zip(right.column("vec_id").to_numpy().tolist(), whole(right.column("vec")), strict=True):
-                i, s = lists.top(query, own, k)
+            own = right.column("vec_id").to_numpy()
+            for q, (i, s) in zip(own.tolist(), lists.top(whole(right.column("vec")), own, k), strict=True):
                 ids.append(i)
                 scores.append(s)
-                owners.append(np.full(len(i), own))
+                owners.append(np.full(len(i), q))
         join = lambda x: pa.array(np.concatenate(x).astype(np.int64) if x else [], pa.int64())
         return pa.table({"query_id": join(owners), "vec_id": join(ids), "score": join(scores)})
 

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def work_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
@@ -24,11 +26,17 @@ def work_dir(spark: SparkSession) -> str:
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
-    Cuts the lineage, so a lost executor costs a re-read and never a recomputation.
+    Cuts the lineage, so a lost executor costs a re-read and never a recomputation. Shuffle files
+    of the write go as soon as it ends.
     """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/claimforge/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -76,11 +76,20 @@ def block(sim: Column, k: int) -> Column:
     return F.shiftrightunsigned(sim, first).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def buckets(nodes: DataFrame) -> DataFrame:
+def close(a: str, b: str, similarity: float) -> Column:
+    """Whether two entries are within the Hamming distance and their lengths allow the similarity."""
+    x, y = F.col(f"{a}size"), F.col(f"{b}size")
+    chars = [s.bitwiseAND(F.lit(0xFFFFFFFF)) for s in (x, y)]
+    n = [F.shiftright(s, 32) for s in (x, y)]
+    allow = lambda p, q: F.least(p, q) >= F.greatest(p, q) * similarity - 1e-9
+    return (F.bit_count(F.col(f"{a}sim").bitwiseXOR(F.col(f"{b}sim"))) <= DISTANCE) & F.when(F.greatest(*chars) <= LONG, allow(*chars)).otherwise(allow(*n))
+
+
+def buckets(nodes: DataFrame, similarity: float) -> DataFrame:
     """(key, node, sim, size, low, high) for every node in every bucket it shares with another.
 
     ``size`` packs words and characters; ``low`` and ``high`` are the least and the greatest node of the
-    bucket with their sims and sizes.
+    bucket, null where they are the node itself or not close to it.
     """
     sim = F.col("sim")
     keys = [F.shiftleft(F.lit(t).cast("long"), 32).bitwiseOR(F.shiftleft(block(sim, i), 13)).bitwiseOR(block(sim, j)) for t, (i, j) in enumerate(TABLES)]
@@ -88,24 +97,14 @@ def buckets(nodes: DataFrame) -> DataFrame:
     w = Window.partitionBy("key")
     entry = F.struct("node", "sim", "size")
     keyed = nodes.select("node", "sim", size, F.explode(F.array(*keys)).alias("key"))
-    return keyed.withColumns({"low": F.min(entry).over(w), "high": F.max(entry).over(w)}).filter("low.node <> high.node")
-
-
-def close(a: str, b: str, similarity: float) -> Column:
-    """Whether two entries are within the Hamming distance and their lengths allow the similarity."""
-    x, y = F.col(f"{a}size"), F.col(f"{b}size")
-    chars = [s.bitwiseAND(F.lit(0xFFFFFFFF)) for s in (x, y)]
-    n = [F.shiftright(s, 32) for s in (x, y)]
-    allow = lambda p, q: F.least(p, q) >= F.greatest(p, q) * similarity - 1e-9
-    return (F.bit_count(F.col(f"{a}sim").bitwiseXOR(F.col(f"{b}sim"))) <= DISTANCE) & F.when(F.greatest(*chars) <= LONG, allow(*chars)).otherwise(allow(*n))
+    shared = keyed.withColumns({"low": F.min(entry).over(w), "high": F.max(entry).over(w)}).filter("low.node <> high.node")
+    near = lambda end: F.when((F.col("node") != F.col(f"{end}.node")) & close("", f"{end}.", similarity), F.col(f"{end}.node")).alias(end)
+    return shared.select("key", "node", "sim", "size", near("low"), near("high"))
 
 
-def leader_pairs(shared: DataFrame, similarity: float) -> DataFrame:
+def leader_pairs(shared: DataFrame) -> DataFrame:
     """(a, b): every node with the least and the greatest of its buckets, where they are close."""
-    ends = [
-        shared.filter((F.col("node") != F.col(f"{end}.node")) & close("", f"{end}.", similarity)).select(F.least("node", f"{end}.node").alias("a"), F.greatest("node", f"{end}.node").alias("b"))
-        for end in ("low", "high")
-    ]
+    ends = [shared.filter(F.col(end).isNotNull()).select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b")) for end in ("low", "high")]
     return ends[0].union(ends[1]).distinct()
 
 
@@ -154,7 +153,7 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
         occurrences.groupBy("node").agg(F.min(F.struct("doc_id", "dh", "th", "pos")).alias("first"), F.count("*").alias("times"), F.max("n").alias("n"), F.max("chars").alias("chars"), F.max("sim").alias("sim")),
         "line-nodes",
     )
-    shared = store(buckets(nodes.filter(F.col("n") >= MIN_WORDS)), "line-buckets")
+    shared = store(buckets(nodes.filter(F.col("n") >= MIN_WORDS), similarity), "line-buckets")
     wanted = store(
         nodes.join(shared.select("node").distinct(), "node").groupBy("first.dh", "first.th").agg(F.collect_list(F.struct(F.col("first.pos").alias("pos"), "node")).alias("at")), "wanted"
     )
@@ -166,13 +165,14 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
         .dropDuplicates(["node"]),
         "line-texts",
     )
+    discard(wanted)
 
     def verified(pairs: DataFrame) -> DataFrame:
         ends = [texts.select(F.col("node").alias(k), F.col("line").alias(v)) for k, v in (("a", "x"), ("b", "y"))]
         return pairs.join(ends[0], "a").join(ends[1], "b").filter(within(F.col("x"), F.col("y"), similarity)).select("a", "b")
 
     # links inside a group cannot change it, so only pairs across groups are tested after the first
-    links = store(verified(leader_pairs(shared, similarity)), "links")
+    links = store(verified(leader_pairs(shared)), "links")
     crossing = crossing_pairs(shared, connected_components(links), similarity)
     roots = connected_components(links.unionByName(verified(crossing)))
     grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -187,7 +187,7 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
     o, r = occurrences.alias("o"), repeated.alias("r")
     gone = o.join(r, F.col("o.node") == F.col("r.node")).filter("not (o.dh = r.dh and o.th = r.th and o.pos = r.pos)")
     out = store(gone.groupBy("o.dh", "o.th").agg(F.array_distinct(F.collect_list("o.pos")).alias("removed")), "removed-lines")
-    for made in (occurrences, nodes, shared, wanted, texts, links):
+    for made in (occurrences, nodes, shared, texts, links):
         discard(made)
     return out
 

@@ -64,9 +64,10 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         .withColumn("h", F.xxhash64("word", F.lit(7)))
     )
     halves = F.lit(0x0000000100000001)
-    chars = (F.sum(F.length("word")) + F.max("n") - 1).cast("int").alias("chars")
-    sums = each.groupBy("doc_id", "dh", "th", "pos", "node", "n").agg(chars, *(F.sum(F.shiftrightunsigned("h", i).bitwiseAND(halves)).alias(f"s{i}") for i in range(32)))
-    bit = lambda count, j: F.shiftleft((count * 2 > F.col("n")).cast("long"), j)
+    # rows alike in id and text fall into one group: "held" is n for each of them, and sums grow alike
+    chars = F.expr("cast(sum(length(word)) * n div count(*) + n - 1 as int)").alias("chars")
+    sums = each.groupBy("doc_id", "dh", "th", "pos", "node", "n").agg(chars, F.count("*").alias("held"), *(F.sum(F.shiftrightunsigned("h", i).bitwiseAND(halves)).alias(f"s{i}") for i in range(32)))
+    bit = lambda count, j: F.shiftleft((count * 2 > F.col("held")).cast("long"), j)
     bits = [bit(F.col(f"s{i}").bitwiseAND(F.lit(0xFFFFFFFF)), i) for i in range(32)] + [bit(F.shiftrightunsigned(f"s{i}", 32), i + 32) for i in range(32)]
     return sums.select("doc_id", "dh", "th", "pos", "node", "n", "chars", reduce(Column.bitwiseOR, bits).alias("sim"))
 

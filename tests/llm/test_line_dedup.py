@@ -95,3 +95,19 @@ def test_edit_similarity(spark, a, b, ok):
     from claimforge.llm.line_dedup import within
 
     assert spark.createDataFrame([(a, b)], "a string, b string").select(within(F.col("a"), F.col("b"), 0.8)).first()[0] is ok
+
+
+def test_repeated_rows_sign_as_one(spark):
+    """A row given three times, also without an id, has the signature of one, and still meets a near copy."""
+    from claimforge.llm import line_dedup as m
+
+    rng = random.Random(8)
+    line = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(300))
+    near = line[:-1] + "z"
+    schema = "doc_id long, text string"
+    once, again = ({(r.doc_id, r.node): (r.n, r.chars, r.sim) for r in m.signatures(spark.createDataFrame(rows, schema), "doc_id", "text").collect()} for rows in ([(2, line), (None, line)], [(2, line)] * 3 + [(None, line)] * 2))
+    assert once == again and {c for _, c, _ in once.values()} == {len(line)}
+    sims = [r.sim for r in m.signatures(spark.createDataFrame([(1, near), (2, line)], schema), "doc_id", "text").collect()]
+    assert ((sims[0] ^ sims[1]) & (2**64 - 1)).bit_count() <= m.DISTANCE
+    got = dedup_lines(spark.createDataFrame([(1, near)] + [(2, line)] * 3, schema)).collect()
+    assert sorted((r.doc_id, r.removed) for r in got) == [(1, [])] + [(2, [0])] * 3

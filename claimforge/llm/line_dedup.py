@@ -23,8 +23,10 @@ from claimforge.llm.common import connected_components, discard, store
 MIN_WORDS = 5
 SIMILARITY = 0.8
 DISTANCE = 3
-#: Characters up to which edits are counted by character.
-LONG = 300
+#: Characters up to which edits are counted by character: all that a string can have.
+LONG = 2**31 - 1
+#: Edits for which a pair is tested first, with less work than for all that it may have.
+FEW_EDITS = (16, 256, 4096)
 #: (first bit, bits) of the blocks.
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 TABLES = tuple(combinations(range(len(BLOCKS)), 2))
@@ -79,28 +81,24 @@ def block(sim: Column, k: int) -> Column:
 
 def close(a: str, b: str, similarity: float) -> Column:
     """Whether two entries are within the Hamming distance and their lengths allow the similarity."""
-    x, y = F.col(f"{a}size"), F.col(f"{b}size")
-    chars = [s.bitwiseAND(F.lit(0xFFFFFFFF)) for s in (x, y)]
-    n = [F.shiftright(s, 32) for s in (x, y)]
-    allow = lambda p, q: F.least(p, q) >= F.greatest(p, q) * similarity - 1e-9
-    return (F.bit_count(F.col(f"{a}sim").bitwiseXOR(F.col(f"{b}sim"))) <= DISTANCE) & F.when(F.greatest(*chars) <= LONG, allow(*chars)).otherwise(allow(*n))
+    x, y = F.col(f"{a}chars"), F.col(f"{b}chars")
+    return (F.bit_count(F.col(f"{a}sim").bitwiseXOR(F.col(f"{b}sim"))) <= DISTANCE) & (F.least(x, y) >= F.greatest(x, y) * similarity - 1e-9)
 
 
 def buckets(nodes: DataFrame, similarity: float) -> DataFrame:
-    """(key, node, sim, size, low, high) for every node in every bucket it shares with another.
+    """(key, node, sim, chars, low, high) for every node in every bucket it shares with another.
 
-    ``size`` packs words and characters; ``low`` and ``high`` are the least and the greatest node of the
-    bucket, null where they are the node itself or not close to it.
+    ``low`` and ``high`` are the least and the greatest node of the bucket, null where they are the node
+    itself or not close to it.
     """
     sim = F.col("sim")
     keys = [F.shiftleft(F.lit(t).cast("long"), 32).bitwiseOR(F.shiftleft(block(sim, i), 13)).bitwiseOR(block(sim, j)) for t, (i, j) in enumerate(TABLES)]
-    size = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("chars").cast("long")).alias("size")
     w = Window.partitionBy("key")
-    entry = F.struct("node", "sim", "size")
-    keyed = nodes.select("node", "sim", size, F.explode(F.array(*keys)).alias("key"))
+    entry = F.struct("node", "sim", "chars")
+    keyed = nodes.select("node", "sim", "chars", F.explode(F.array(*keys)).alias("key"))
     shared = keyed.withColumns({"low": F.min(entry).over(w), "high": F.max(entry).over(w)}).filter("low.node <> high.node")
     near = lambda end: F.when((F.col("node") != F.col(f"{end}.node")) & close("", f"{end}.", similarity), F.col(f"{end}.node")).alias(end)
-    return shared.select("key", "node", "sim", "size", near("low"), near("high"))
+    return shared.select("key", "node", "sim", "chars", near("low"), near("high"))
 
 
 def leader_pairs(shared: DataFrame) -> DataFrame:
@@ -112,7 +110,7 @@ def leader_pairs(shared: DataFrame) -> DataFrame:
 def crossing_pairs(shared: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """(a, b): all close pairs of nodes that the links so far leave in different groups; each once."""
     w = Window.partitionBy("key")
-    rooted = shared.select("key", "node", "sim", "size").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = shared.select("key", "node", "sim", "chars").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = rooted.withColumns({"least": F.min("root").over(w), "most": F.max("root").over(w)}).filter("least <> most").drop("least", "most")
     a, b = open_.alias("a"), open_.alias("b")
     differ = F.col("a.sim").bitwiseXOR(F.col("b.sim"))
@@ -122,24 +120,17 @@ def crossing_pairs(shared: DataFrame, roots: DataFrame, similarity: float) -> Da
     return a.join(b, meet & close("a.", "b.", similarity) & (first == F.shiftright(F.col("a.key"), 32))).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
 
 
-def as_characters(line: Column) -> Column:
-    """One character for each word of a line, by its hash; a line of n words has n of them."""
-    code = lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(0xD000 - 1)) + 1), 4, "0")
-    return F.decode(F.unhex(F.array_join(F.transform(F.split(line, " "), code), "")), "UTF-16BE")
-
-
 def within(a: Column, b: Column, similarity: float) -> Column:
-    """Whether 1 - edits / length of the longer is at least ``similarity``.
+    """Whether 1 - edits / length of the longer, in characters, is at least ``similarity``.
 
-    Edits are of characters if both lines have at most ``LONG`` of them, else of words: the time
-    of the test is the product of the lengths.
+    The time of a test is the length times the edits that it allows, so few are tried first.
     """
-
-    def test(x: Column, y: Column) -> Column:
-        most = F.floor(F.greatest(F.length(x), F.length(y)) * (1 - similarity) + 1e-9).cast("int")
-        return F.call_function("levenshtein", x, y, most) >= 0
-
-    return F.when(F.greatest(F.length(a), F.length(b)) <= LONG, test(a, b)).otherwise(test(as_characters(a), as_characters(b)))
+    most = F.floor(F.greatest(F.length(a), F.length(b)) * (1 - similarity) + 1e-9).cast("int")
+    test = lambda edits: F.call_function("levenshtein", a, b, edits) >= 0
+    out = test(most)
+    for few in reversed(FEW_EDITS):
+        out = F.when(most <= few, test(most)).when(test(F.lit(few)), True).otherwise(out)
+    return out
 
 
 def sided(df: DataFrame) -> DataFrame:

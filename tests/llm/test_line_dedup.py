@@ -111,3 +111,18 @@ def test_repeated_rows_sign_as_one(spark):
     assert ((sims[0] ^ sims[1]) & (2**64 - 1)).bit_count() <= m.DISTANCE
     got = dedup_lines(spark.createDataFrame([(1, near)] + [(2, line)] * 3, schema)).collect()
     assert sorted((r.doc_id, r.removed) for r in got) == [(1, [])] + [(2, [0])] * 3
+
+
+def test_long_lines_are_compared_by_character(spark):
+    """Around and far beyond 300 characters: a typo in every fourth word, and few but long other words."""
+    from pyspark.sql import functions as F
+
+    from claimforge.llm.line_dedup import within
+
+    rows = []
+    for n in (40, 80, 3000):
+        words = [f"word{k % 10}" for k in range(n)]
+        rows.append((" ".join(words), " ".join("x" + w[1:] if k % 4 == 0 else w for k, w in enumerate(words)), True))
+        rows.append((" ".join(words), " ".join("yz" * 9 if k % 6 == 0 else w for k, w in enumerate(words)), False))
+    df = spark.createDataFrame(rows, "a string, b string, ok boolean")
+    assert all(r.got is r.ok for r in df.select(within(F.col("a"), F.col("b"), 0.8).alias("got"), "ok").collect())

@@ -5,7 +5,7 @@
 2. A query walks through the pairs by the sum of their two distances, with a heap, until the pairs
    that it has met hold enough vectors.
 3. The entries of these pairs are reranked by the exact distance. Work is dealt out by the first
-   centroid, and a centroid with many vectors is split by a hash of their ids.
+   centroid, and a centroid with many vectors is split by a hash of their ids; so are the queries.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ SAMPLE = 20_000
 SHARE, LEAST = 0.5, 2_000
 #: Vectors in one part of a first centroid, about.
 PART = 16_384
+#: Queries in one group that meets a part, about.
+QUERIES = 4_096
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str, zeros: bool) -> DataFrame:
@@ -95,7 +97,7 @@ def traverse(first: np.ndarray, second: np.ndarray, counts: np.ndarray, wanted:
     return out
 
 
-def nearest(vectors: DataFrame, k: int = 10, every: int = 100, vec_id: str = "vec_id", embedding: str = "embedding", centroids: int = CENTROIDS, share: float = SHARE, least: int = LEAST) -> DataFrame:
+def nearest(vectors: DataFrame, k: int = 10, every: int = 100, vec_id: str = "vec_id", embedding: str = "embedding", centroids: int = CENTROIDS, share: float = SHARE, least: int = LEAST, queries: int = QUERIES) -> DataFrame:
     """The ``k`` nearest vectors found for each vector whose id is divisible by ``every``.
 
     Returns ``query_id``, ``rank`` from 1, ``vec_id`` and ``score``, the Euclidean distance of the original
@@ -104,10 +106,11 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, vec_id: str = "ve
     Vectors null, zero or with null or non-finite components take no part, nor do vectors of another
     length than the most common one; rows that repeat an id count once. If there are at most ``least``
     vectors every one is a candidate, so the result is exact. Other columns are not carried. An empty
-    table gives an empty one. The driver holds the sample, the codebooks and ``centroids ** 2`` counts.
+    table gives an empty one. A task holds about ``PART`` vectors and ``queries`` queries. The driver holds the sample, the codebooks and ``centroids ** 2`` counts.
     """
     index = usable(vectors, vec_id, embedding, zeros=False)
-    total = index.count()
+    total, n_queries = index.agg(F.count("*"), F.count_if(F.col("vec_id") % every == 0)).first()
+    groups = max(1, -(-n_queries // queries))
     draw = F.pmod(F.xxhash64("vec_id", F.lit(31)), F.lit(1 << 20))
     sample = index.filter(draw < min(1.0, SAMPLE / max(1, total)) * (1 << 20)).orderBy("vec_id").select("vec").toArrow()
     if not sample.num_rows:
@@ -167,7 +170,10 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, vec_id: str = "ve
     cuts = F.element_at(F.array(*(F.lit(int(n)) for n in parts)), F.col("a") + 1)
     placed = entries.withColumn("part", F.pmod(F.xxhash64("vec_id"), cuts).cast("int"))
     probes = entries.filter(F.col("vec_id") % every == 0).select("vec_id", "vec").repartition(8).mapInArrow(probe, "query_id long, query binary, a int, part int, bs array<int>")
-    found = placed.groupBy("a", "part").cogroup(probes.groupBy("a", "part")).applyInArrow(rerank, "query_id long, vec_id long, score double")
+    # each part of the vectors meets each group of the queries in a task of its own
+    placed = placed.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    probes = probes.withColumn("group", F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(groups)).cast("int"))
+    found = placed.groupBy("a", "part", "group").cogroup(probes.groupBy("a", "part", "group")).applyInArrow(rerank, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

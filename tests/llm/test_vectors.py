@@ -73,3 +73,12 @@ def test_traverse_goes_by_summed_distance():
     got = traverse(a, b, np.ones(49, int), 49)
     assert got == sorted(range(49), key=lambda p: (a[p // 7] + b[p % 7]))
     assert traverse(a, b, np.ones(49, int), 5) == got[:5]
+
+
+def test_queries_meet_parts_in_groups_of_bounded_size(spark):
+    """Many small groups give what one group gives, and the plan deals work out by group as well."""
+    df = spark.createDataFrame(rows(3000, seed=4), "vec_id long, embedding array<float>, rank int")
+    one, many = (nearest(df, every=10, least=100, queries=n) for n in (10_000, 16))
+    assert sorted(tuple(r) for r in one.collect()) == sorted(tuple(r) for r in many.collect())
+    plan = many._jdf.queryExecution().analyzed().toString()
+    assert next(x for x in plan.splitlines() if "FlatMapCoGroupsInArrow" in x).count("group#") >= 2

@@ -18,7 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimforge.llm.common import connected_components, discard, store
@@ -94,8 +94,13 @@ def least_matches(threshold: float, tolerance: float) -> list[int]:
     return out
 
 
+def row_key(doc_id: str, text: str) -> list[Column]:
+    """dh and th, which stand for a row: hashes of its id and its text."""
+    return [F.xxhash64(F.col(doc_id).cast("string")).alias("dh"), F.xxhash64(F.col(text)).alias("th")]
+
+
 def node_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, node, bands): node identifies the shingle set; null for texts without words."""
+    """(doc_id, node, bands, dh, th): node identifies the shingle set; null for texts without words. dh and th stand for the row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,10 +117,10 @@ def node_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 for k in range(ROWS):
                     h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + v[:, k])
                 bands.append(h.view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "node", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array(bands, pa.list_(pa.int64())), batch.column(2), batch.column(3)], names=["doc_id", "node", "bands", "dh", "th"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(doc_id, text).mapInArrow(run, f"doc_id {kind}, node long, bands array<long>")
+    return docs.select(doc_id, text, *row_key(doc_id, text)).mapInArrow(run, f"doc_id {kind}, node long, bands array<long>, dh long, th long")
 
 
 def signed_rows(rows: DataFrame) -> DataFrame:
@@ -186,32 +191,22 @@ def links(members: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     return members.groupBy("root", "i", "j").applyInArrow(run, "node long, n_links long, peer long")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, tolerance: float = TOLERANCE, block: int = BLOCK) -> DataFrame:
-    """Classes of documents linked by Jaccard similarity of at least ``threshold``, and link counts.
-
-    Returns one row per row of ``docs``: the id, ``class_id`` (the least id of its class) and
-    ``n_links``, the number of other rows at or above the threshold, copies included.
-
-    Null, empty and blank texts have no shingles: each is a class of its own without links. A text
-    of fewer than five words is one shingle. Rows with a null id are left out. Rows that repeat an
-    id count row by row in the links, and share a class if their texts do. Other columns are not
-    carried. An empty table gives an empty one.
-
-    Equal sets are one node, so copies are never paired. A component of m different sets is compared
-    in blocks of about ``block`` of them, (m / block) ** 2 / 2 tasks: its memory is bounded, its time is
-    that of counting all its links.
-    """
-    rows = store(node_rows(docs.filter(F.col(doc_id).isNotNull()), doc_id, text), "nodes")
-    nodes = store(rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), F.max("bands").alias("bands")), "sets")
+def classes_of_rows(docs: DataFrame, doc_id: str, text: str, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, block: int = BLOCK, nulls: bool = False) -> DataFrame:
+    """(doc_id, dh, th, node, keep, n_links) for every row; ``keep`` is the least row of its class, null without words."""
+    least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "dh", "th")  # a null id is the greatest
+    rows = store(node_rows(docs if nulls else docs.filter(F.col(doc_id).isNotNull()), doc_id, text), "nodes")
+    nodes = store(rows.filter("node is not null").groupBy("node").agg(F.min(least).alias("first"), F.count("*").alias("n"), F.max("bands").alias("bands")), "sets")
     bands = nodes.select("node", F.explode("bands").alias("band"))
     buckets = bands.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("size")).filter("size > 1").drop("size")
     stars = bands.join(buckets, "band").filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
     forest = connected_components(stars)
     inside = forest.unionByName(forest.select(F.col("root").alias("node"), "root").distinct())
     parts = inside.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
-    wanted = nodes.drop("bands").join(inside, "node").join(parts, "root")
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    members = store(signed_rows(source.join(wanted.hint("shuffle_hash"), "doc_id").select("root", "node", "n", "parts", "text")), "members")
+    wanted = nodes.select("node", "n", "first.dh", "first.th").join(inside, "node").join(parts, "root")
+    source = docs.select(*row_key(doc_id, text), F.col(doc_id).isNull().alias("none"), F.col(text).alias("text"))
+    if nulls:  # many copies without an id have one key
+        source = source.filter("not none").unionByName(source.filter("none").dropDuplicates(["dh", "th"]))
+    members = store(signed_rows(source.join(wanted.hint("shuffle_hash"), ["dh", "th"]).select("root", "node", "n", "parts", "text")), "members")
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     placed = (
         members.withColumn("part", part)
@@ -223,23 +218,56 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = connected_components(found.select(F.col("node").alias("a"), F.col("peer").alias("b")))
     counted = found.groupBy("node").agg(F.sum("n_links").alias("n_links"))
     whole = (
-        nodes.select("node", "doc_id", "n")
+        nodes.select("node", "first", "n")
         .join(classes, "node", "left")
         .join(counted, "node", "left")
-        .select("node", "doc_id", F.coalesce("root", "node").alias("root"), (F.coalesce("n_links", F.lit(0)) + F.col("n") - 1).alias("n_links"))
+        .select("node", "first", F.coalesce("root", "node").alias("root"), (F.coalesce("n_links", F.lit(0)) + F.col("n") - 1).alias("n_links"))
     )
-    heads = whole.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    by_node = whole.join(heads, "root").select("node", "class_id", "n_links")
-    named = rows.select("doc_id", "node").join(by_node, "node", "left")
-    return named.select(F.col("doc_id").alias(doc_id), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    heads = whole.groupBy("root").agg(F.min("first").alias("keep"))
+    by_node = whole.join(heads, "root").select("node", "keep", "n_links")
+    return rows.select("doc_id", "dh", "th", "node").join(by_node, "node", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("long"))
+
 
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """Classes of documents linked by Jaccard similarity of at least ``threshold``, and link counts.
+
+    Returns one row per row of ``docs``: the id, ``class_id`` (the least id of its class) and
+    ``n_links``, the number of other rows at or above the threshold, copies included.
+
+    Null, empty and blank texts have no shingles: each is a class of its own without links. A text
+    of fewer than five words is one shingle. Rows with a null id are left out; with ``nulls`` they take
+    part as any other, have the greatest id, and the class id is null if none of its rows has one. Rows that repeat an
+    id count row by row in the links, and share a class if their texts do. Other columns are not
+    carried. An empty table gives an empty one.
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` without those that are in the class of a smaller id; rows with a null id stay."""
-    gone = near_duplicates(docs, doc_id, text, **options).filter(F.col("class_id") != F.col(doc_id)).select(F.col(doc_id).alias("__gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), F.col(doc_id) == F.col("__gone"), "left_anti")
+    Equal sets are one node, so copies are never paired. A component of m different sets is compared
+    in blocks of about ``block`` of them, (m / block) ** 2 / 2 tasks: its memory is bounded, its time is
+    that of counting all its links.
+    """
+    named = classes_of_rows(docs, doc_id, text, **options)
+    return named.select(F.col("doc_id").alias(doc_id), F.coalesce("keep.doc_id", "doc_id").alias("class_id"), "n_links")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", one_row: bool = False, **options) -> DataFrame:
+    """``docs`` without those that are in the class of a smaller id; rows with a null id stay.
+
+    A row goes by its id and text, so other rows of its id stay. With ``one_row`` exactly one row of each
+    class stays, of rows with a null id and of repeated rows too; texts without words all stay.
+    """
+    rows = classes_of_rows(docs, doc_id, text, nulls=one_row, **options).filter("node is not null")
+    same = (F.col("dh") == F.col("keep.dh")) & (F.col("th") == F.col("keep.th"))
+    if not one_row:
+        same = F.col("doc_id") == F.col("keep.doc_id")
+    keyed = docs.withColumns(dict(zip(("__dh", "__th"), row_key(doc_id, text), strict=True)))
+    marks = rows.groupBy(F.col("dh").alias("__dh"), F.col("th").alias("__th")).agg(F.count("*").alias("__times"), F.max(~same).alias("__goes"))
+    if not one_row:
+        return keyed.join(marks.filter("__goes").hint("shuffle_hash"), ["__dh", "__th"], "left_anti").select(*docs.columns)
+    marks = store(marks.filter("__goes or __times > 1"), "marks")
+    single = keyed.join(marks.hint("shuffle_hash"), ["__dh", "__th"], "left_anti")
+    repeated = keyed.join(marks.filter("not __goes"), ["__dh", "__th"], "left_semi").dropDuplicates(["__dh", "__th"])
+    return single.unionByName(repeated).select(*docs.columns)
 
 
 def op10_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all ``documents``."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), nulls=True)

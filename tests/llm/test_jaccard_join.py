@@ -57,3 +57,25 @@ def test_odd_rows(spark):
     assert sorted(tuple(r) for r in near_duplicates(df).collect()) == [(1, 1, 2), (1, 1, 2), (2, 1, 2), (3, 3, 0)]
     assert one_of_each(df).count() == 4
     assert near_duplicates(df.limit(0)).count() == 0 and one_of_each(df.limit(0)).count() == 0
+
+
+def test_rows_go_by_id_and_text(spark):
+    """Id 7 repeats: its copy of A goes and its other text stays; without ids and repeated, one row of a class stays."""
+    a, b, c = "a b c d e f", "g h i j k l", "m n o p q r"
+    rows = [(3, a), (7, a), (7, b), (None, a), (None, a), (9, c), (9, c), (None, "s t u v w x"), (None, "s t u v w x"), (4, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in one_of_each(df).collect() if r.doc_id in (3, 7)) == [(3, a), (7, b)]
+    kept = [tuple(r) for r in one_of_each(df, one_row=True).collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, [(3, a), (7, b), (9, c), (None, "s t u v w x"), (4, None), (None, "")]))
+    got = [tuple(r) for r in near_duplicates(df, nulls=True).collect()]
+    want = [(3, 3, 3), (7, 3, 3), (7, 7, 0), (None, 3, 3), (None, 3, 3), (9, 9, 1), (9, 9, 1), (None, None, 1), (None, None, 1), (4, 4, 0), (None, None, 0)]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_linked_texts_without_ids(spark):
+    """Texts that only rows with a null id have are compared as well."""
+    words = [f"w{i}" for i in range(100)]
+    near = " ".join(words[:-1] + ["x"])
+    df = spark.createDataFrame([(None, " ".join(words)), (None, near), (None, near), (2, " ".join(words[:-2] + ["y", "z"]))], "doc_id long, text string")
+    assert sorted(map(str, (tuple(r) for r in near_duplicates(df, nulls=True).collect()))) == sorted(map(str, [(None, 2, 3)] * 3 + [(2, 2, 3)]))
+    assert [r.doc_id for r in one_of_each(df, one_row=True).collect()] == [2]

@@ -20,6 +20,15 @@ def normal(line):
     return " ".join(re.split(r"[\s!-/:-@\[-`{-~]+", line.lower().strip(" \t\r\n\x0b\x0c!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")))
 
 
+def met(a, b):
+    """Whether two signatures agree on two blocks and are within the distance."""
+    from claimforge.llm import line_dedup as m
+
+    differ = [(x ^ y) & (2**64 - 1) for x, y in zip(a, b)]
+    blocks = [differ[k // m.IN_LOW] >> (k % m.IN_LOW * m.WIDTH) & (2**m.WIDTH - 1) for k in range(m.N_BLOCKS)]
+    return sum(x == 0 for x in blocks) >= 2 and sum(x.bit_count() for x in differ) <= m.DISTANCE
+
+
 def corpus():
     rng = random.Random(3)
     vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 10))) for _ in range(500)]
@@ -37,14 +46,15 @@ def corpus():
 
 
 def test_equals_brute_force(spark):
-    """All pairs of normalised lines, with the SimHash distances that the operator computes."""
+    """All pairs of normalised lines that agree on two blocks of the signatures that the operator computes."""
     from claimforge.llm import line_dedup as m
 
     rows = corpus()
     df = spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id long, text string, source string, pos int")
-    sims = {r.node: (r.sim, r.n) for r in m.signatures(df, "doc_id", "text").collect()}
+    signed = m.line_rows(df, "doc_id", "text").collect()
+    sims = {r.node: (r.low, r.high) for r in signed}
     where = {}
-    for r in m.signatures(df, "doc_id", "text").collect():
+    for r in signed:
         where.setdefault(r.node, []).append((r.doc_id, r.pos))
     text = {node: normal(dict(rows)[min(at)[0]].split("\n")[min(at)[1]]) for node, at in where.items()}
     up = {n: n for n in sims}
@@ -57,10 +67,8 @@ def test_equals_brute_force(spark):
     near = 0
     for a in sims:
         for b in sims:
-            if a < b and sims[a][1] >= 5 and sims[b][1] >= 5 and ((sims[a][0] ^ sims[b][0]) & (2**64 - 1)).bit_count() <= 3:
+            if a < b and met(sims[a], sims[b]):
                 x, y = text[a], text[b]
-                if max(len(x), len(y)) > m.LONG:  # long lines are compared by words
-                    x, y = x.split(), y.split()
                 if edits(x, y) <= 0.2 * max(len(x), len(y)):
                     up[top(b)] = top(a)
                     near += 1
@@ -89,12 +97,24 @@ def test_odd_rows(spark):
 
 
 @pytest.mark.parametrize("a,b,ok", [("abcdefghij", "abcdefghxy", True), ("abcdefghij", "abcdefgxyz", False), ("", "", True), ("a " * 3000, "a " * 2400, True), ("a " * 3000, "a " * 2398, False)])
-def test_edit_similarity(spark, a, b, ok):
-    from pyspark.sql import functions as F
+def test_edit_similarity(a, b, ok):
+    from claimforge.llm.line_dedup import similar
 
-    from claimforge.llm.line_dedup import within
+    assert similar(a, b, 0.8) is ok
 
-    assert spark.createDataFrame([(a, b)], "a string, b string").select(within(F.col("a"), F.col("b"), 0.8)).first()[0] is ok
+
+def test_similar_equals_the_edit_table():
+    from claimforge.llm.line_dedup import similar
+
+    rng = random.Random(6)
+    for _ in range(1500):
+        a = [rng.choice("abcé🙂 ") for _ in range(rng.randrange(0, 40))]
+        b = list(a) if rng.random() < 0.8 else [rng.choice("abcé🙂 ") for _ in range(rng.randrange(0, 40))]
+        for _ in range(rng.randrange(0, 9)):
+            i = rng.randrange(len(b) + 1)
+            b[i : i + rng.randrange(2)] = rng.choice(("", "x", "ab"))
+        s = rng.choice((0.5, 0.8, 0.9))
+        assert similar("".join(a), "".join(b), s) is (edits(a, b) <= (1 - s) * max(len(a), len(b)) + 1e-9)
 
 
 def test_repeated_rows_sign_as_one(spark):
@@ -105,24 +125,71 @@ def test_repeated_rows_sign_as_one(spark):
     line = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(300))
     near = line[:-1] + "z"
     schema = "doc_id long, text string"
-    once, again = ({(r.doc_id, r.node): (r.n, r.chars, r.sim) for r in m.signatures(spark.createDataFrame(rows, schema), "doc_id", "text").collect()} for rows in ([(2, line), (None, line)], [(2, line)] * 3 + [(None, line)] * 2))
-    assert once == again and {c for _, c, _ in once.values()} == {len(line)}
-    sims = [r.sim for r in m.signatures(spark.createDataFrame([(1, near), (2, line)], schema), "doc_id", "text").collect()]
-    assert ((sims[0] ^ sims[1]) & (2**64 - 1)).bit_count() <= m.DISTANCE
+    once, again = ({(r.doc_id, r.node): (r.chars, r.low, r.high) for r in m.line_rows(spark.createDataFrame(rows, schema), "doc_id", "text").collect()} for rows in ([(2, line), (None, line)], [(2, line)] * 3 + [(None, line)] * 2))
+    assert once == again and {c for c, _, _ in once.values()} == {len(line)}
+    sims = [(r.low, r.high) for r in m.line_rows(spark.createDataFrame([(1, near), (2, line)], schema), "doc_id", "text").collect()]
+    assert met(*sims)
     got = dedup_lines(spark.createDataFrame([(1, near)] + [(2, line)] * 3, schema)).collect()
     assert sorted((r.doc_id, r.removed) for r in got) == [(1, [])] + [(2, [0])] * 3
 
 
-def test_long_lines_are_compared_by_character(spark):
+def test_long_lines_are_compared_by_character():
     """Around and far beyond 300 characters: a typo in every fourth word, and few but long other words."""
-    from pyspark.sql import functions as F
-
-    from claimforge.llm.line_dedup import within
+    from claimforge.llm.line_dedup import similar
 
-    rows = []
     for n in (40, 80, 3000):
         words = [f"word{k % 10}" for k in range(n)]
-        rows.append((" ".join(words), " ".join("x" + w[1:] if k % 4 == 0 else w for k, w in enumerate(words)), True))
-        rows.append((" ".join(words), " ".join("yz" * 9 if k % 6 == 0 else w for k, w in enumerate(words)), False))
-    df = spark.createDataFrame(rows, "a string, b string, ok boolean")
-    assert all(r.got is r.ok for r in df.select(within(F.col("a"), F.col("b"), 0.8).alias("got"), "ok").collect())
+        assert similar(" ".join(words), " ".join("x" + w[1:] if k % 4 == 0 else w for k, w in enumerate(words)), 0.8)
+        assert not similar(" ".join(words), " ".join("yz" * 9 if k % 6 == 0 else w for k, w in enumerate(words)), 0.8)
+
+
+def test_signatures_equal_a_plain_count():
+    """Bits set in more than half of the hashes of all 5-grams, also of a line that many bytes cannot count."""
+    from claimforge.llm import line_dedup as m
+
+    rng = random.Random(2)
+    lines = [bytes(rng.choice(b"abc de") for _ in range(n)) for n in (1, 4, 5, 254, 255, 256, 1000, 70_000)] + ["日本語 été".encode()]
+    whole = 2**64 - 1
+    for line, low, high in zip(lines, *m.simhashes(lines), strict=True):
+        counts = [0] * 84
+        for i in range(len(line)):
+            code = int.from_bytes((line[i : i + 5] + b"\n" * 4)[:5], "little")
+            h = (code + 1) * 0x9E3779B97F4A7C15 & whole
+            h = (h ^ h >> 32) * 0xD6E8FEB86659FD93 & whole
+            h ^= h >> 32
+            h |= (h * 0xFF51AFD7ED558CCD & whole) >> 40 << 64
+            for k in range(84):
+                counts[k] += h >> k & 1
+        sig = sum((2 * c > len(line)) << k for k, c in enumerate(counts))
+        assert (int(low), int(high)) == (sig & 2**56 - 1, sig >> 56)
+
+
+def test_short_lines_and_a_typo(spark):
+    """Lines of few words join too; a line with no room for an edit only if it is equal."""
+    rows = [(1, "Copyright 2021 Acme Publishing House of Books and Papers in Ordinary Bindings, all rights reserved; no page may be given away, sold or lent without a written word of the house that has made it and of those who own its shops"), (2, "Copyright 2022 Acme Publishing House of Books and Papers in Ordinary Bindings, all rights reserved; no page may be given away, sold or lent without a written word of the house that has made it and of those who own its shops"), (3, "abcd"), (4, "abce"), (5, "abcd!")]
+    got = {r.doc_id: r.removed for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: [], 2: [0], 3: [], 4: [], 5: [0]}
+
+
+@pytest.mark.parametrize("cut", [1, 3, 7, 1000])
+def test_buckets_of_any_size_over_any_batches(spark, cut):
+    """Streams cut into batches anywhere give all pairs of small buckets, and all nodes of large ones."""
+    from claimforge.llm import line_dedup as m
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", cut)
+    try:
+        rng = random.Random(4)
+        sigs = [rng.getrandbits(56) for _ in range(6)]
+        rows, node = [], 0
+        for sig, n in zip(sigs, (1, 2, 17, 18, 40, 3)):
+            for _ in range(n):
+                node += 1
+                rows.append((node, sig ^ 1 << 55 if node % 7 == 0 else sig, sig >> 30, 100))
+        got = m.bucket_rows(spark.createDataFrame(rows, "node long, low long, high long, chars int"), 0.8, (0,)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    groups = [range(1, 2), range(2, 4), range(4, 21), range(21, 39), range(39, 79), range(79, 82)]
+    assert sorted(r.node for r in got if r.mate is None) == [*groups[3], *groups[4]]
+    pairs = {(min(r.node, r.mate), max(r.node, r.mate)) for r in got if r.mate is not None}
+    want = {(a, b) for g in groups for b in g for a in g if a < b and (b - a <= m.PREVIOUS or a == g[0])}
+    assert pairs == want

@@ -1,7 +1,7 @@
 """Fuzzy removal of repeated lines.
 
 1. Every line is normalised to lower-case words; equal word sequences are one node, by a 64-bit hash.
-2. A node has a SimHash of its character 5-grams, in six blocks of 14 bits. Nodes that agree on two
+2. A node has a SimHash of its character 6-grams, in six blocks of 14 bits. Nodes that agree on two
    blocks or more, as all within Hamming distance 4 do, meet in one of fifteen tables, one for each pair of blocks.
 3. Pairs within a wide distance are verified by edit similarity of the normalised lines: first all of small
    buckets and those with the least and the greatest node of a large one, then all pairs of large buckets
@@ -15,7 +15,7 @@ Signing, the pairs of a bucket and the edits of a pair are worked out over Arrow
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
@@ -28,11 +28,11 @@ from claimforge.llm.common import connected_components, discard, store
 
 SIMILARITY = 0.8
 #: Signatures with more other bits than this are not compared by edits.
-DISTANCE = 9
+DISTANCE = 16
 #: Blocks of a signature and the bits of each; "low" holds the first four, "high" the other two.
 N_BLOCKS, WIDTH, IN_LOW = 6, 14, 4
 #: Nodes of a bucket before each one that it is compared with at once.
-PREVIOUS = 16
+PREVIOUS = 4
 TABLES = tuple(combinations(range(N_BLOCKS), 2))
 #: Tables whose buckets are dealt out at a time.
 AT_ONCE = 8
@@ -40,15 +40,27 @@ AT_ONCE = 8
 SMALL = 200_000
 #: Pairs whose edits one task counts, at most about.
 PAIRS = 20_000
-GRAM = 5
-#: 5-grams that are hashed at a time, and that one byte can count.
+GRAM = 6
+#: n-grams that are hashed at a time, and that one byte can count.
 BLOCK, MOST = 1 << 16, 255
 
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 STRIP = " \t\r\n\x0b\x0c" + PUNCTUATION
 TO_SPACE = bytes.maketrans(PUNCTUATION.encode(), b" " * len(PUNCTUATION))
-#: For each byte its bits as eight bytes of 0 or 1 in one word.
-SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit words that spreads all bits."""
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+@lru_cache(maxsize=None)
+def bit_table() -> np.ndarray:
+    """For each of 2 ** 16 hashes its bits in the signature, a byte for each bit, as eleven words."""
+    n = np.arange(1, (1 << 16) + 1, dtype=np.uint64)
+    bits = np.concatenate([mixed(n * np.uint64(m)).view(np.uint8).reshape(-1, 8) for m in (0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD)], axis=1)
+    return np.unpackbits(bits[:, :11], axis=1, bitorder="little").view(np.uint64)
 
 
 def words(line: Column) -> Column:
@@ -80,15 +92,7 @@ def simhashes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         code = part[: b - a].copy()
         for k in range(1, GRAM):
             code[: len(part) - k] |= part[k : k + b - a] << np.uint64(8 * k)
-        h = (code + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(32)
-        more = h * np.uint64(0xFF51AFD7ED558CCD)
-        keyed = np.empty((b - a, 11), np.uint8)
-        keyed[:, :8] = h.view(np.uint8).reshape(-1, 8)
-        for k in range(8, 11):
-            keyed[:, k] = (more >> np.uint64(8 * k - 24)) & np.uint64(255)
-        lanes = SPREAD.take(keyed)
+        lanes = bit_table().take((mixed(code + np.uint64(1)) >> np.uint64(48)).astype(np.int32), 0)
         lanes[text[a:b] == 10] = 0
         counts[done:stop] = np.add.reduceat(lanes, starts[done:stop] - a, axis=0).view(np.uint8).reshape(-1, 88)
         done = stop
@@ -226,8 +230,9 @@ def crossing_pairs(large: DataFrame, roots: DataFrame, similarity: float) -> Dat
 def similar(a: str, b: str, similarity: float) -> bool:
     """Whether 1 - edits / length of the longer, in characters, is at least ``similarity``.
 
-    What both lines begin and end with goes first. Edits of the rest are counted with the columns of the
-    edit table held as bits of whole numbers, until the last cell shows that there are too many.
+    What both lines begin and end with goes first. If few words are edited, whatever their length, the
+    rest is similar; if not, its characters decide. Edits are counted with the columns of the edit table
+    held as bits of whole numbers, until the last cell shows that there are too many.
     """
     most = int(max(len(a), len(b)) * (1 - similarity) + 1e-9)
     if abs(len(a) - len(b)) > most:
@@ -244,7 +249,17 @@ def similar(a: str, b: str, similarity: float) -> bool:
         a, b = b, a
     if not b:
         return len(a) <= most
-    where: dict[str, int] = {}
+    u, v = a.split(" "), b.split(" ")
+    if edited(u, v, most // (1 + max(map(len, u + v)))):
+        return True
+    return edited(a, b, most)
+
+
+def edited(a, b, most: int) -> bool:
+    """Whether ``a`` becomes ``b`` by at most ``most`` edits of its items; ``b`` is not empty."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    where: dict = {}
     for i, c in enumerate(a):
         where[c] = where.get(c, 0) | 1 << i
     full, last = (1 << len(a)) - 1, 1 << len(a) - 1

@@ -144,20 +144,22 @@ def test_long_lines_are_compared_by_character():
 
 
 def test_signatures_equal_a_plain_count():
-    """Bits set in more than half of the hashes of all 5-grams, also of a line that many bytes cannot count."""
+    """Bits set in more than half of the hashes of all 6-grams, also of a line that many bytes cannot count."""
     from claimforge.llm import line_dedup as m
 
     rng = random.Random(2)
     lines = [bytes(rng.choice(b"abc de") for _ in range(n)) for n in (1, 4, 5, 254, 255, 256, 1000, 70_000)] + ["日本語 été".encode()]
     whole = 2**64 - 1
+
+    def mix(h):
+        h = (h ^ h >> 32) * 0xD6E8FEB86659FD93 & whole
+        return h ^ h >> 32
+
     for line, low, high in zip(lines, *m.simhashes(lines), strict=True):
         counts = [0] * 84
         for i in range(len(line)):
-            code = int.from_bytes((line[i : i + 5] + b"\n" * 4)[:5], "little")
-            h = (code + 1) * 0x9E3779B97F4A7C15 & whole
-            h = (h ^ h >> 32) * 0xD6E8FEB86659FD93 & whole
-            h ^= h >> 32
-            h |= (h * 0xFF51AFD7ED558CCD & whole) >> 40 << 64
+            h = mix(int.from_bytes((line[i : i + 6] + b"\n" * 5)[:6], "little") + 1) >> 48
+            h = mix((h + 1) * 0x9E3779B97F4A7C15 & whole) | (mix((h + 1) * 0xFF51AFD7ED558CCD & whole) & 2**24 - 1) << 64
             for k in range(84):
                 counts[k] += h >> k & 1
         sig = sum((2 * c > len(line)) << k for k, c in enumerate(counts))
@@ -181,14 +183,16 @@ def test_buckets_of_any_size_over_any_batches(spark, cut):
         rng = random.Random(4)
         sigs = [rng.getrandbits(56) for _ in range(6)]
         rows, node = [], 0
-        for sig, n in zip(sigs, (1, 2, 17, 18, 40, 3)):
+        for sig, n in zip(sigs, (1, 2, m.PREVIOUS + 1, m.PREVIOUS + 2, 40, 3)):
             for _ in range(n):
                 node += 1
                 rows.append((node, sig ^ 1 << 55 if node % 7 == 0 else sig, sig >> 30, 100))
         got = m.bucket_rows(spark.createDataFrame(rows, "node long, low long, high long, chars int"), 0.8, (0,)).collect()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    groups = [range(1, 2), range(2, 4), range(4, 21), range(21, 39), range(39, 79), range(79, 82)]
+    a = 4 + m.PREVIOUS + 1
+    b = a + m.PREVIOUS + 2
+    groups = [range(1, 2), range(2, 4), range(4, a), range(a, b), range(b, b + 40), range(b + 40, b + 43)]
     assert sorted(r.node for r in got if r.mate is None) == [*groups[3], *groups[4]]
     pairs = {(min(r.node, r.mate), max(r.node, r.mate)) for r in got if r.mate is not None}
     want = {(a, b) for g in groups for b in g for a in g if a < b and (b - a <= m.PREVIOUS or a == g[0])}

@@ -14,10 +14,12 @@ FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def work_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session has no such setting (tests) a temporary folder is made and set.
+    Only a local session without this setting gets a temporary folder; on a cluster it is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="claimforge-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -51,6 +53,16 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def tag(name: str) -> str:
+    """A column name that no table of a user has."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver free what no plan refers to: Spark deletes shuffle files and broadcasts only after its collector ran."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def crc_mod(column: str, m: int) -> Column:
     """crc32 of the id written as text, modulo ``m`` (null ids give null)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % m
@@ -91,5 +103,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         discard(e)
         e = nxt
         if now == seen:
+            release(e.sparkSession)
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
         seen = now

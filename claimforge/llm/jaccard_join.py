@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimforge.llm.common import connected_components, discard, store
+from claimforge.llm.common import connected_components, discard, store, tag
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 28, 4  # a pair at the threshold shares no band with probability 4e-7
@@ -258,13 +258,14 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", one
     same = (F.col("dh") == F.col("keep.dh")) & (F.col("th") == F.col("keep.th"))
     if not one_row:
         same = F.col("doc_id") == F.col("keep.doc_id")
-    keyed = docs.withColumns(dict(zip(("__dh", "__th"), row_key(doc_id, text), strict=True)))
-    marks = rows.groupBy(F.col("dh").alias("__dh"), F.col("th").alias("__th")).agg(F.count("*").alias("__times"), F.max(~same).alias("__goes"))
+    keys, times, goes = [tag("dh"), tag("th")], tag("times"), tag("goes")
+    keyed = docs.withColumns(dict(zip(keys, row_key(doc_id, text), strict=True)))
+    marks = rows.groupBy(*(F.col(c).alias(k) for c, k in zip(("dh", "th"), keys, strict=True))).agg(F.count("*").alias(times), F.max(~same).alias(goes))
     if not one_row:
-        return keyed.join(marks.filter("__goes").hint("shuffle_hash"), ["__dh", "__th"], "left_anti").select(*docs.columns)
-    marks = store(marks.filter("__goes or __times > 1"), "marks")
-    single = keyed.join(marks.hint("shuffle_hash"), ["__dh", "__th"], "left_anti")
-    repeated = keyed.join(marks.filter("not __goes"), ["__dh", "__th"], "left_semi").dropDuplicates(["__dh", "__th"])
+        return keyed.join(marks.filter(goes), keys, "left_anti").select(*docs.columns)
+    marks = store(marks.filter((F.col(times) > 1) | F.col(goes)), "marks")
+    single = keyed.join(marks, keys, "left_anti")
+    repeated = keyed.join(marks.filter(~F.col(goes)), keys, "left_semi").dropDuplicates(keys)
     return single.unionByName(repeated).select(*docs.columns)
 
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimforge.llm.common import connected_components, discard, store
+from claimforge.llm.common import connected_components, discard, store, tag
 
 SIMILARITY = 0.8
 #: Signatures with more other bits than this are not compared by edits.
@@ -359,8 +359,8 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", simila
     return out
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with ``text`` reduced to the lines that stay, and ``n_lines`` and ``removed`` added.
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, names: tuple[str, str] = ("n_lines", "removed")) -> DataFrame:
+    """``docs`` with ``text`` reduced to the lines that stay, and ``n_lines`` and ``removed`` added, or as ``names`` has them.
 
     Lines are what newlines separate. Lines without a word are never removed. Lines too short for one
     edit at this similarity are removed only as repeats of equal words. ``removed`` lists the numbers of
@@ -368,18 +368,20 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sim
 
     A null text stays null, with 0 lines; an empty text has one line. A null id counts as the least.
     Rows that are alike in id and text are one document and end alike. All other columns stay;
-    such named ``n_lines`` or ``removed`` are replaced. An empty table gives an empty one. A line of
+    such with one of the two names are replaced. An empty table gives an empty one. A line of
     any length is handled whole. Nodes are 64-bit hashes of word sequences.
     """
     gone = removals(docs, doc_id, text, similarity)
-    base = docs.drop("n_lines", "removed")
+    removed = tag("removed")
+    keys = [tag("dh"), tag("th")]
+    base = docs.drop(*names)
     dh, th = row_key(doc_id, text)
-    joined = base.join(gone, (dh == gone["dh"]) & (th == gone["th"]), "left")
+    joined = base.join(gone.select(F.col("dh").alias(keys[0]), F.col("th").alias(keys[1]), F.col("removed").alias(removed)), (dh == F.col(keys[0])) & (th == F.col(keys[1])), "left")
     split = F.split(F.col(text), "\n")
-    stay = F.filter(split, lambda _, i: ~F.array_contains("removed", i))
-    cut = F.when(F.col("removed").isNull(), F.col(text)).otherwise(F.array_join(stay, "\n"))
+    stay = F.filter(split, lambda _, i: ~F.array_contains(removed, i))
+    cut = F.when(F.col(removed).isNull(), F.col(text)).otherwise(F.array_join(stay, "\n"))
     kept = [cut.alias(text) if c == text else base[c] for c in base.columns]
-    return joined.select(*kept, F.coalesce(F.size(split), F.lit(0)).alias("n_lines"), F.sort_array(F.coalesce("removed", F.array().cast("array<int>"))).alias("removed"))
+    return joined.select(*kept, F.coalesce(F.size(split), F.lit(0)).alias(names[0]), F.sort_array(F.coalesce(removed, F.array().cast("array<int>"))).alias(names[1]))
 
 
 def op2_line_dedup(spark, sf_dir: str) -> DataFrame:

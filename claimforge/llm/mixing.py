@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimforge.llm.common import store
+from claimforge.llm.common import store, tag
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -99,10 +99,11 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """``docs``, all columns, with every row repeated as often as :func:`mix` takes it."""
-    ready = recipe(sizes(docs, doc_id, text, source), **options).select(F.col("source").alias("__source"), F.col("rate").alias("__rate"), F.col("seed").alias("__seed"))
-    n = copies(F.col("__rate"), draw_key(doc_id), F.col("__seed")).cast("int")
-    columns = [docs[c] for c in docs.columns]
-    return docs.join(ready, docs[source].eqNullSafe(ready["__source"])).select(*columns, F.explode(F.array_repeat(F.lit(0), n)).alias("__copy")).drop("__copy")
+    names = {c: tag(c) for c in ("source", "rate", "seed")}
+    ready = recipe(sizes(docs, doc_id, text, source), **options).select(*(F.col(c).alias(k) for c, k in names.items()))
+    n = copies(F.col(names["rate"]), draw_key(doc_id), F.col(names["seed"])).cast("int")
+    columns, copy = [docs[c] for c in docs.columns], tag("copy")
+    return docs.join(ready, docs[source].eqNullSafe(ready[names["source"]])).select(*columns, F.explode(F.array_repeat(F.lit(0), n)).alias(copy)).drop(copy)
 
 
 def op4_source_mixing(spark, sf_dir: str) -> DataFrame:

@@ -22,8 +22,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from claimforge.llm.common import crc_mod, discard, store
+from claimforge.llm.common import crc_mod, discard, release, store
 
 #: Labelled rows that a model is fitted to at most, about; a hash of the id picks them.
 SAMPLE = 20_000
@@ -104,8 +105,8 @@ def feature_rows(docs: DataFrame, text: str, lexicons: list[dict[str, float]]) -
             rest = [c for c in batch.schema.names if c != text]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in rest), made], names=[*rest, "features"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text)
-    return docs.mapInArrow(run, f"{fields}, features array<double>")
+    kept = [f for f in docs.schema if f.name != text]
+    return docs.mapInArrow(run, StructType([*kept, StructField("features", ArrayType(DoubleType()))]))
 
 
 def term_counts(sample: DataFrame) -> DataFrame:
@@ -143,14 +144,14 @@ class Model:
         self.share, self.words, self.trees, self.calibration = share, words, trees, calibration
 
     def score(self, docs: DataFrame, text: str = "text") -> DataFrame:
-        """All columns of ``docs`` but the text, with ``score`` (0 to 1)."""
+        """(row, score): all columns of ``docs`` as one, whatever their names, and the score (0 to 1)."""
+        whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[text].alias("text"))
         if self.trees is None:
-            return docs.drop(text).withColumn("score", F.lit(self.share))
-        rows = feature_rows(docs.withColumn("half", F.lit(0)), text, [self.words]).drop("half")
+            return whole.select("row", F.lit(self.share).alias("score"))
+        rows = feature_rows(whole.withColumn("half", F.lit(0)), "text", [self.words]).drop("half")
         raw = self.trees.transform(rows.withColumn("features", array_to_vector("features")))
         out = self.calibration.transform(raw.withColumn("p", vector_to_array("probability")[1]))
-        kept = [c for c in docs.columns if c != text]
-        return out.select(*kept, F.least(F.greatest(F.col("calibrated"), F.lit(0.0)), F.lit(1.0)).alias("score"))
+        return out.select("row", F.least(F.greatest(F.col("calibrated"), F.lit(0.0)), F.lit(1.0)).alias("score"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -175,6 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     made = store(feature_rows(rows, "text", cross), "features")
     discard(rows)
     discard(counts)
+    features = made
     made = made.withColumn("features", array_to_vector("features")).withColumn("label", F.col("toxic").cast("double")).coalesce(4)
     trees = GBTClassifier(maxIter=20, maxDepth=3, stepSize=0.3, maxBins=32, seed=7, checkpointInterval=-1, minInstancesPerNode=2)
     seen = made.filter("not calibrate")
@@ -184,22 +186,28 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     unseen = model.transform(made.filter("calibrate")).withColumn("p", vector_to_array("probability")[1]).select("p", "label")
     ends = made.sparkSession.createDataFrame([(0.0, 0.0), (1.0, 1.0)], "p double, label double")
     calibration = IsotonicRegression(featuresCol="p", labelCol="label", predictionCol="calibrated").fit(unseen.unionByName(ends).coalesce(1))
+    discard(features)
+    release(made.sparkSession)
     return Model(toxic / (toxic + other), both, model, calibration)
 
 
+def scored_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = 5, fold: int = 0) -> DataFrame:
+    """(row, score): every row of ``docs``, its columns of any names as one, with its score."""
+    return fit(docs, labels.filter(~(crc_mod("doc_id", folds) == fold)), sample).score(docs)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, folds: int = 5, fold: int = 0) -> DataFrame:
     """Score every row of ``docs``; learn from labels outside the held-out fold only.
 
-    Returns every column of ``docs`` but ``text`` and ``held_out``, ``score``, ``predicted``, which are
-    replaced. Held out are ids whose crc32 modulo ``folds`` is ``fold`` (null ids are not held out, and
+    Returns every column of ``docs`` but ``text``, with ``held_out``, ``score`` and ``predicted``; columns of
+    ``docs`` with these three names are replaced, and all others stay. Held out are ids whose crc32 modulo ``folds`` is ``fold`` (null ids are not held out, and
     have no labels). Null and empty texts have all features 0 and get the score of such a text. Repeated
     rows are scored row by row. Without labels of both classes every score is their share (0 if there
     are none). An empty table gives an empty one.
     """
     held = crc_mod("doc_id", folds) == fold
-    model = fit(docs, labels.filter(~held), sample)
-    base = docs.drop("held_out", "score", "predicted", "half", "features", "p", "probability", "rawPrediction", "prediction", "calibrated")
-    return model.score(base).withColumn("held_out", F.coalesce(held, F.lit(False))).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    out = scored_rows(docs.drop("held_out", "score", "predicted"), labels, sample, folds, fold)
+    return out.select("row.*", "score").drop("text").withColumn("held_out", F.coalesce(held, F.lit(False))).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +57,17 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def slices(batch: pa.RecordBatch, texts: pa.Array, most: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """The batch in parts of about ``most`` bytes of text, a row at least, with their texts: what Python holds at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(batch):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + most, side="right")))
+        yield batch.slice(start, stop - start), texts.slice(start, stop - start).to_pylist()
+        start = stop
+
+
 def tag(name: str) -> str:
     """A column name that no table of a user has."""
     return f"{name}_{uuid.uuid4().hex}"

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimforge.llm.common import connected_components, discard, store, tag
+from claimforge.llm.common import connected_components, discard, slices, store, tag
 
 SIMILARITY = 0.8
 #: Signatures with more other bits than this are not compared by edits.
@@ -107,9 +107,9 @@ def line_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, dh, th, pos, node, chars, low, high) of all lines that have a word; dh and th stand for the row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, texts in (part for whole in batches for part in slices(whole, whole.column(3))):
             row, pos, found = [], [], []
-            for i, t in enumerate(batch.column(3).to_pylist()):
+            for i, t in enumerate(texts):
                 if t is None:
                     continue
                 for k, line in enumerate(t.lower().encode("utf-8", "surrogatepass").translate(TO_SPACE).split(b"\n")):

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from claimforge.llm.common import crc_mod, discard, release, store
+from claimforge.llm.common import crc_mod, discard, release, slices, store
 
 #: Labelled rows that a model is fitted to at most, about; a hash of the id picks them.
 SAMPLE = 20_000
@@ -95,17 +95,24 @@ def features(text: str, weights: Weights) -> list[float]:
 
 
 def feature_rows(docs: DataFrame, text: str, lexicons: list[dict[str, float]]) -> DataFrame:
-    """``docs`` with ``features``; the column ``half`` says which lexicon a row uses."""
+    """``docs`` with ``features`` and without ``text``, or with it if it is a field of their column ``row``.
+
+    The column ``half`` says which lexicon a row uses.
+    """
+    place = docs.schema["row"].dataType.fieldNames().index(text) if "row" in docs.columns else None
+    kept = [f for f in docs.schema if place is not None or f.name != text]
+
+    def inside(batch: pa.RecordBatch) -> pa.Array:
+        return batch.column(text) if place is None else batch.column("row").flatten()[place]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = [Weights(x) for x in lexicons]
-        for batch in batches:
-            texts, halves = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (text, "half"))
+        for batch, texts in (part for whole in batches for part in slices(whole, inside(whole))):
+            halves = batch.column("half").to_pylist()
             made = pa.array([features(t or "", weights[h]) for t, h in zip(texts, halves, strict=True)], pa.list_(pa.float64()))
-            rest = [c for c in batch.schema.names if c != text]
+            rest = [f.name for f in kept]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in rest), made], names=[*rest, "features"])
 
-    kept = [f for f in docs.schema if f.name != text]
     return docs.mapInArrow(run, StructType([*kept, StructField("features", ArrayType(DoubleType()))]))
 
 
@@ -145,10 +152,10 @@ class Model:
 
     def score(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """(row, score): all columns of ``docs`` as one, whatever their names, and the score (0 to 1)."""
-        whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[text].alias("text"))
+        whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
         if self.trees is None:
             return whole.select("row", F.lit(self.share).alias("score"))
-        rows = feature_rows(whole.withColumn("half", F.lit(0)), "text", [self.words]).drop("half")
+        rows = feature_rows(whole.withColumn("half", F.lit(0)), text, [self.words]).drop("half")
         raw = self.trees.transform(rows.withColumn("features", array_to_vector("features")))
         out = self.calibration.transform(raw.withColumn("p", vector_to_array("probability")[1]))
         return out.select("row", F.least(F.greatest(F.col("calibrated"), F.lit(0.0)), F.lit(1.0)).alias("score"))

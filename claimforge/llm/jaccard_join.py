@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimforge.llm.common import connected_components, discard, store, tag
+from claimforge.llm.common import connected_components, discard, slices, store, tag
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 28, 4  # a pair at the threshold shares no band with probability 4e-7
@@ -31,10 +31,10 @@ HASHES = BANDS * ROWS
 
 
 class WordHashes(dict):
-    """64-bit hashes of words; emptied when it has a million."""
+    """64-bit hashes of words; emptied when it has 200,000."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= 200_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -103,9 +103,9 @@ def node_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, node, bands, dh, th): node identifies the shingle set; null for texts without words. dh and th stand for the row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, texts in (part for whole in batches for part in slices(whole, whole.column(1))):
             nodes, bands = [], []
-            for value in batch.column(1).to_pylist():
+            for value in texts:
                 s = shingles(value)
                 if not len(s):
                     nodes.append(None)
@@ -127,9 +127,9 @@ def signed_rows(rows: DataFrame) -> DataFrame:
     """(root, node, n, parts, text) to (root, node, n, parts, sig, shingles); other texts of an id go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, texts in (part for whole in batches for part in slices(whole, whole.column("text"))):
             keep, sigs, sets = [], [], []
-            for i, (node, value) in enumerate(zip(batch.column("node").to_pylist(), batch.column("text").to_pylist(), strict=True)):
+            for i, (node, value) in enumerate(zip(batch.column("node").to_pylist(), texts, strict=True)):
                 s = shingles(value)
                 if int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) == node:
                     keep.append(i)

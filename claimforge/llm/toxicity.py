@@ -62,7 +62,7 @@ class Weights(dict):
         self.lexicon = lexicon
 
     def __missing__(self, word: str) -> float:
-        if len(self) >= 500_000:
+        if len(self) >= 150_000:
             self.clear()
         get = self.lexicon.get
         w = self[word] = max([get(word, 0.0), *(get(f"^{word[:n]}", 0.0) for n in PREFIXES if len(word) > n)])

@@ -204,7 +204,7 @@ def policy_performance(core: Core) -> DataFrame:
     amounts = ["premium_due_total", "approved_claim_amount"]
     counts = ["policy_months", "policy_count", "premium_installment_count", "claim_count", "decided_claim_count", "approved_claim_count"]
     out = spine.join(exposure, keys, "left").join(premium, keys, "left").join(claims, keys, "left").select(*keys, *(F.coalesce(x, F.lit(0)).alias(x) for x in counts + amounts))
-    return out.withColumn("approved_to_premium_ratio", ratio(c("approved_claim_amount"), c("premium_due_total"))).withColumn("low_exposure", c("policy_months") < 12)
+    return out.withColumn("claims_to_premium_performance_ratio", ratio(c("approved_claim_amount"), c("premium_due_total"))).withColumn("low_exposure_flag", c("policy_months") < 12)
 
 
 MARTS = {"fraud_detection": fraud, "customer_retention": retention, "operational_efficiency": operations, "region_wise_insights": region_summary, "policy_optimization": policy_performance}

@@ -46,7 +46,8 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
 def fingerprint(spark: SparkSession, folder: str) -> str:
     """sha256 over the sorted paths and content hashes of all files of a batch."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    line = F.concat(F.regexp_replace("path", "^.*/(?=[^/]+$)", ""), F.lit("\x00"), F.sha2("content", 256))
+    inside = F.substring_index("path", f"{folder.rstrip('/')}/", -1)  # relative, so that a moved batch is the same
+    line = F.concat(inside, F.lit("\x00"), F.sha2("content", 256))
     hashes = files.select(line.alias("line")).groupBy().agg(F.sha2(F.array_join(F.sort_array(F.collect_list("line")), "\n"), 256).alias("h"))
     return hashes.first()["h"]
 

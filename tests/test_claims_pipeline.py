@@ -10,8 +10,8 @@ from claimforge.sources.raw import EXTRACTS
 
 ROWS = {
     "Customer": [
-        ["C00001", "erin ", "RILEY", "1970-08-27", "Female", "1 Main St", "regina", "Sask.", "s4p3y2", "(306) 555-0142", "E@X.CA", "2015-10-20", "2024-10-25T00:00:00-06:00"],
-        ["C00002", "Erin", "Riley", "27/08/1970", "F", "1 Main St", "Regina", "", "S4P 3Y2", "", "", "2016-01-01", "2023-01-01T00:00:00-06:00"],
+        ["C00001", "mona ", "TREMBLE", "1971-02-14", "Female", "1 Main St", "regina", "Sask.", "s4p3y2", "(306) 555-0142", "E@X.CA", "2014-05-06", "2024-09-02T00:00:00-06:00"],
+        ["C00002", "Mona", "Tremble", "14/02/1971", "F", "1 Main St", "Regina", "", "S4P 3Y2", "", "", "2016-01-01", "2023-01-01T00:00:00-06:00"],
         ["C00003", "Luc", "Roy", "1990-01-01", "M", "2 Rue A", "Montreal", "QC", "H2X 1Y4", "", "", "2019-01-01", "2024-01-01T00:00:00-06:00"],
         ["C00004", "Ann", "St. john", "", "X", "3 Elm", "Calgary", "AB", "T2P 1A1", "", "", "2020-02-02", "2024-01-01T00:00:00-06:00"],
     ],

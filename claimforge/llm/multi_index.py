@@ -5,7 +5,7 @@
 2. A query walks through the pairs by the sum of their two distances, with a heap, until the pairs
    that it has met hold enough vectors.
 3. The entries of these pairs are reranked by the exact distance. Work is dealt out by the first
-   centroid, and a centroid with many vectors is split by a hash of their ids; so are the queries.
+   centroid, and a centroid with many vectors is split by a hash of their rows; so are the queries.
 """
 
 from __future__ import annotations
@@ -21,38 +21,38 @@ from pyspark.sql import functions as F
 from claimforge.llm.common import store
 
 CENTROIDS = 32
-#: Vectors that the codebooks are fitted to, about; a hash of the id picks them.
+#: Vectors that the codebooks are fitted to, about; a hash of the row picks them.
 SAMPLE = 20_000
-#: A query goes on until its pairs hold this share of all vectors, and at least this number. Vectors without
-#: clusters need a large share for a recall over 0.9; clustered ones reach it with far less.
-SHARE, LEAST = 0.5, 2_000
+#: A query goes on until its pairs hold this share of all vectors and, besides, so many vectors for each
+#: neighbour that it wants. Vectors without clusters need a large share for a recall over 0.9; clustered ones
+#: reach it with far less.
+SHARE, SPARE = 0.5, 10
 #: Vectors in one part of a first centroid, about.
 PART = 16_384
-#: Queries in one group that meets a part, about.
-QUERIES = 4_096
+#: Queries in one group that meets a part, about, and in one task that walks through the pairs.
+QUERIES, WALKS = 4_096, 1_024
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str, zeros: bool) -> DataFrame:
-    """(vec_id, vec) with the doubles of usable vectors as bytes, one row for each id.
+    """(row, vec_id, vec) with the doubles of usable vectors as bytes; ``row`` tells rows of one id apart.
 
-    Left out are null ids, null or empty vectors, those with null or non-finite components, zero vectors
-    unless ``zeros``, and vectors that have not the most common length (of equally common ones the longest).
-    Of several rows of an id the greatest vector counts.
+    Left out are null ids, null or empty vectors, those with null or non-finite components, and zero
+    vectors unless ``zeros``.
     """
     v = F.col(embedding).cast("array<double>")
     good = F.col(vec_id).isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     if not zeros:
         good = good & F.exists(v, lambda x: x != 0)
-    rows = vectors.filter(F.coalesce(good, F.lit(False))).select(F.col(vec_id).alias("vec_id"), v.alias("v"))
-    lengths = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), F.desc("n")).first()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.asarray(batch.column(1).flatten(), np.float64).reshape(len(batch), -1)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())], names=["vec_id", "vec"])
+            lists = batch.column(2)
+            raw, ends = np.asarray(lists.flatten(), np.float64).tobytes(), 8 * np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))
+            vecs = pa.array([raw[i:j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), vecs], names=["row", "vec_id", "vec"])
 
-    kept = rows.filter(F.size("v") == (lengths["n"] if lengths else 0)).groupBy("vec_id").agg(F.max("v").alias("v"))
-    return store(kept.mapInArrow(run, "vec_id long, vec binary"), "vectors")
+    rows = vectors.filter(F.coalesce(good, F.lit(False))).select(F.monotonically_increasing_id().alias("row"), F.col(vec_id).cast("long").alias("vec_id"), v.alias("v"))
+    return store(rows.mapInArrow(run, "row long, vec_id long, vec binary"), "vectors")
 
 
 def matrix(column: pa.ChunkedArray | pa.Array, kind=np.float64) -> np.ndarray:
@@ -97,25 +97,37 @@ def traverse(first: np.ndarray, second: np.ndarray, counts: np.ndarray, wanted:
     return out
 
 
-def nearest(vectors: DataFrame, k: int = 10, every: int = 100, vec_id: str = "vec_id", embedding: str = "embedding", centroids: int = CENTROIDS, share: float = SHARE, least: int = LEAST, queries: int = QUERIES) -> DataFrame:
+def nearest(vectors: DataFrame, k: int = 10, every: int = 100, vec_id: str = "vec_id", embedding: str = "embedding", centroids: int = CENTROIDS, share: float = SHARE, spare: int = SPARE, queries: int = QUERIES) -> DataFrame:
     """The ``k`` nearest vectors found for each vector whose id is divisible by ``every``.
 
     Returns ``query_id``, ``rank`` from 1, ``vec_id`` and ``score``, the Euclidean distance of the original
-    vectors in double precision; ties go to the smaller id. A query is no candidate of its own.
-
-    Vectors null, zero or with null or non-finite components take no part, nor do vectors of another
-    length than the most common one; rows that repeat an id count once. If there are at most ``least``
-    vectors every one is a candidate, so the result is exact. Other columns are not carried. An empty
-    table gives an empty one. A task holds about ``PART`` vectors and ``queries`` queries. The driver holds the sample, the codebooks and ``centroids ** 2`` counts.
+    vectors in double precision; ties go to the smaller id. A query row is no candidate of its own.
+
+    Vectors null, zero or with null or non-finite components take no part. Rows that repeat an id are
+    candidates each, and queries each with ranks of their own. A vector is near only to vectors of its own
+    length; each length has an index of its own, so lengths should be few. Other columns are not carried.
+    An empty table gives an empty one. A task holds about ``PART`` vectors and ``queries`` queries. The
+    driver holds the lengths and, for one length at a time, the sample, the codebooks and
+    ``centroids ** 2`` counts.
     """
-    index = usable(vectors, vec_id, embedding, zeros=False)
-    total, n_queries = index.agg(F.count("*"), F.count_if(F.col("vec_id") % every == 0)).first()
+    rows = usable(vectors, vec_id, embedding, zeros=False)
+    size = F.octet_length("vec")
+    found = rows.sparkSession.createDataFrame([], "query_row long, query_id long, vec_id long, score double")
+    for r in rows.groupBy(size.alias("bytes")).agg(F.count("*").alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("q")).orderBy("bytes").collect():
+        if r["q"]:
+            found = found.unionByName(candidates(rows.filter(size == r["bytes"]), r["n"], r["q"], k, every, centroids, share, spare, queries))
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy("score", "vec_id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def candidates(index: DataFrame, total: int, n_queries: int, k: int, every: int, centroids: int, share: float, spare: int, queries: int) -> DataFrame:
+    """The best of each part for each query, of an index of ``total`` vectors of one length."""
     groups = max(1, -(-n_queries // queries))
-    draw = F.pmod(F.xxhash64("vec_id", F.lit(31)), F.lit(1 << 20))
-    sample = index.filter(draw < min(1.0, SAMPLE / max(1, total)) * (1 << 20)).orderBy("vec_id").select("vec").toArrow()
+    draw = F.pmod(F.xxhash64("row", F.lit(31)), F.lit(1 << 20))
+    sample = index.filter(draw < min(1.0, SAMPLE / total) * (1 << 20)).orderBy("row").select("vec").toArrow()
     if not sample.num_rows:
         sample = index.limit(1).select("vec").toArrow()
-    x = matrix(sample.column("vec")) if sample.num_rows else np.ones((1, 2))
+    x = matrix(sample.column("vec"))
     half = x.shape[1] // 2
     books = (k_means(x[:, :half], centroids), k_means(x[:, half:], centroids))
     size = len(books[1])
@@ -125,57 +137,57 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, vec_id: str = "ve
             if len(batch):
                 v = matrix(batch.column("vec"))
                 a, b = (squares(part, c).argmin(1).astype(np.int32) for part, c in ((v[:, :half], books[0]), (v[:, half:], books[1])))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(a), pa.array(b)], names=["vec_id", "vec", "a", "b"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(a), pa.array(b)], names=["row", "vec_id", "vec", "a", "b"])
 
-    entries = store(index.mapInArrow(assign, "vec_id long, vec binary, a int, b int"), "entries")
+    entries = store(index.select("row", "vec_id", "vec").mapInArrow(assign, "row long, vec_id long, vec binary, a int, b int"), "entries")
     counts = np.zeros(len(books[0]) * size, np.int64)
     for r in entries.groupBy("a", "b").count().collect():
         counts[r["a"] * size + r["b"]] = r["count"]
-    wanted = max(least, int(share * total), k + 1)
+    wanted = int(np.ceil(share * total)) + spare * k + 1
     parts = np.maximum(1, -(-counts.reshape(-1, size).sum(1) // PART))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for q, raw in zip(batch.column("vec_id").to_pylist(), batch.column("vec").to_pylist(), strict=True):
+            for row, q, raw in zip(*(batch.column(c).to_pylist() for c in ("row", "vec_id", "vec")), strict=True):
                 v = np.frombuffer(raw)[None]
                 pairs = traverse(squares(v[:, :half], books[0])[0], squares(v[:, half:], books[1])[0], counts, wanted)
                 by_first: dict[int, list[int]] = {}
                 for p in pairs:
                     by_first.setdefault(p // size, []).append(p % size)
-                out += [(q, raw, a, part, bs) for a, bs in by_first.items() for part in range(int(parts[a]))]
-            columns = zip(*out, strict=True) if out else [()] * 5
-            kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["query_id", "query", "a", "part", "bs"])
+                out += [(row, q, raw, a, part, bs) for a, bs in by_first.items() for part in range(int(parts[a]))]
+            columns = zip(*out, strict=True) if out else [()] * 6
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["query_row", "query_id", "query", "a", "part", "bs"])
 
     def rerank(_key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        found: list[tuple[int, int, float]] = []
+        found: list[tuple[int, int, int, float]] = []
         if left.num_rows and right.num_rows:
-            ids, b, v = left.column("vec_id").to_numpy(), left.column("b").to_numpy(), matrix(left.column("vec"))
+            rows, ids, b, v = *(left.column(c).to_numpy() for c in ("row", "vec_id", "b")), matrix(left.column("vec"))
             order = np.lexsort((ids, b))
-            ids, b, v = ids[order], b[order], v[order]
+            rows, ids, b, v = rows[order], ids[order], b[order], v[order]
             edge = np.searchsorted(b, np.arange(size + 1))
-            for q, raw, bs in zip(*(right.column(c).to_pylist() for c in ("query_id", "query", "bs")), strict=True):
+            for row, q, raw, bs in zip(*(right.column(c).to_pylist() for c in ("query_row", "query_id", "query", "bs")), strict=True):
                 at = np.concatenate([np.arange(edge[i], edge[i + 1]) for i in bs])
-                at = at[ids[at] != q]
+                at = at[rows[at] != row]
                 d = np.sqrt(((v[at] - np.frombuffer(raw)) ** 2).sum(1))
                 if len(d) > k:
                     close = d <= np.partition(d, k - 1)[k - 1]
                     at, d = at[close], d[close]
                 best = np.lexsort((ids[at], d))[:k]
-                found += [(q, int(i), float(s)) for i, s in zip(ids[at[best]], d[best], strict=True)]
-        columns = list(zip(*found, strict=True)) if found else [(), (), ()]
-        return pa.table({"query_id": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
+                found += [(row, q, int(i), float(s)) for i, s in zip(ids[at[best]], d[best], strict=True)]
+        columns = list(zip(*found, strict=True)) if found else [()] * 4
+        kinds = {"query_row": pa.int64(), "query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.float64()}
+        return pa.table({name: pa.array(c, t) for (name, t), c in zip(kinds.items(), columns, strict=True)})
 
     cuts = F.element_at(F.array(*(F.lit(int(n)) for n in parts)), F.col("a") + 1)
-    placed = entries.withColumn("part", F.pmod(F.xxhash64("vec_id"), cuts).cast("int"))
-    probes = entries.filter(F.col("vec_id") % every == 0).select("vec_id", "vec").repartition(8).mapInArrow(probe, "query_id long, query binary, a int, part int, bs array<int>")
+    placed = entries.withColumn("part", F.pmod(F.xxhash64("row"), cuts).cast("int"))
+    asked = entries.filter(F.col("vec_id") % every == 0).select("row", "vec_id", "vec").repartition(max(8, -(-n_queries // WALKS)))
+    probes = asked.mapInArrow(probe, "query_row long, query_id long, query binary, a int, part int, bs array<int>")
     # each part of the vectors meets each group of the queries in a task of its own
     placed = placed.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    probes = probes.withColumn("group", F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(groups)).cast("int"))
-    found = placed.groupBy("a", "part", "group").cogroup(probes.groupBy("a", "part", "group")).applyInArrow(rerank, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    probes = probes.withColumn("group", F.pmod(F.xxhash64("query_row", F.lit(1)), F.lit(groups)).cast("int"))
+    return placed.groupBy("a", "part", "group").cogroup(probes.groupBy("a", "part", "group")).applyInArrow(rerank, "query_row long, query_id long, vec_id long, score double")
 
 
 def op5_multi_index_ann(spark, sf_dir: str) -> DataFrame:

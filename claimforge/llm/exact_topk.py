@@ -133,8 +133,8 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_i
         ids, scores, owners, rows = [], [], [], []
         if left.num_rows and right.num_rows:
             lists = Lists(left.column("vec_id").to_numpy(), left.column("row").to_numpy(), whole(left.column("vec")))
-            own = right.column("row").to_numpy()
-            for row, q, (i, s) in zip(own.tolist(), right.column("vec_id").to_pylist(), lists.top(whole(right.column("vec")), own, k), strict=True):
+            own = right.column("query_row").to_numpy()
+            for row, q, (i, s) in zip(own.tolist(), right.column("query_id").to_pylist(), lists.top(whole(right.column("query")), own, k), strict=True):
                 ids.append(i)
                 scores.append(s)
                 owners.append(np.full(len(i), q))
@@ -144,7 +144,7 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_i
 
     sized = index.withColumn("size", F.octet_length("vec"))
     left = sized.select("row", "vec_id", "vec", "size", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
-    right = sized.filter(F.col("vec_id") % every == 0).select("row", "vec_id", "vec", "size", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), group.alias("group"))
+    right = sized.filter(F.col("vec_id") % every == 0).select(F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"), F.col("vec").alias("query"), "size", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), group.alias("group"))
     keys = ["size", "block", "group"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "query_row long, query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))

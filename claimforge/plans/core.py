@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimforge import functions as fn
+from claimforge.operators.upsert import upsert
 from claimforge.plans.staging import Staging, event
 
 c = F.col
@@ -24,6 +25,7 @@ class Core:
     details: DataFrame
     line_items: DataFrame
     events: DataFrame
+    identities: DataFrame
 
 
 def accepted(df: DataFrame) -> DataFrame:
@@ -50,7 +52,7 @@ def reconciled_claims(s: Staging, policies: DataFrame) -> DataFrame:
     or ten times off either way.
     """
     terms = policies.select("policy_id", "customer_id", "start_date", "end_date", "policy_type", "coverage_amount")
-    header = accepted(s.claims).select("claim_id", "policy_id", c("customer_id").alias("claim_customer_id"), "claim_type", c("service_date").alias("header_date"), "claim_date", c("claim_amount").alias("header_amount"), "approved_amount", "claim_status", "region")
+    header = accepted(s.claims).select("claim_id", c("raw_row_id").alias("source_raw_row_id"), "policy_id", c("customer_id").alias("claim_customer_id"), "claim_type", c("service_date").alias("header_date"), "claim_date", c("claim_amount").alias("header_amount"), "approved_amount", "claim_status", "region")
     joined = header.join(terms, "policy_id").join(evidence(s), "claim_id", "left")
     fits = lambda d: (c(d) >= c("start_date")) & (c("end_date").isNull() | (c(d) <= c("end_date"))) & (c(d) <= c("claim_date"))
     off = (c("header_amount") >= 10 * c("json_amount")) | (c("json_amount") >= 10 * c("header_amount"))
@@ -76,21 +78,37 @@ def settled_payments(s: Staging, claims: DataFrame) -> DataFrame:
         .withColumn("decision_date", decision).withColumn("payment_date", F.when(~early, c("payment_date")))
         .withColumn("payment_status", F.when((c("payment_status") == "paid") & c("payment_date").isNull() & c("raw_payment_date").isNotNull(), F.lit(None)).otherwise(c("payment_status")))
         .withColumn("payment_amount", F.when(denied, F.lit(0)).otherwise(c("payment_amount")).cast("decimal(12,2)"))
-        .select("payment_id", "claim_id", "processing_start_date", "decision_date", "decision_outcome", "payment_amount", *(empty(x).alias(x) for x in ("payment_date", "payment_method", "payment_status", "transaction_reference")), F.when(denied, c("denial_reason")).alias("denial_reason"), "raw_decision_date", "raw_payment_date", "raw_payment_amount")
+        .select("payment_id", c("raw_row_id").alias("source_raw_row_id"), "claim_id", "processing_start_date", "decision_date", "decision_outcome", "payment_amount", *(empty(x).alias(x) for x in ("payment_date", "payment_method", "payment_status", "transaction_reference")), F.when(denied, c("denial_reason")).alias("denial_reason"), "raw_decision_date", "raw_payment_date", "raw_payment_amount")
         .filter((denied & c("denial_reason").isNotNull()) | (~denied & c("payment_method").isNotNull()))
     )
 
 
-def build(s: Staging) -> Core:
-    """The canonical tables of one batch, without direct identifiers of persons, and the repairs' events."""
-    survivors = s.identities.select("customer_id").distinct()
+# The staged table and the sources of each entity's repairs.
+REPAIRED = {"customer": ("Customer.csv", "staging.customers"), "claim": ("Claim.csv + JSON", "staging.claims"), "payment": ("Claim_Payment.csv", "staging.claim_payments"), "premium": ("Policy_Premium.csv + Customer.csv", "staging.policy_premiums")}
+CONFLICTS = {"CORE_STATUS_CONFLICT": "Claim.csv vs Claim_Payment.csv", "CORE_REGION_CONFLICT": "Claim.csv vs Customer.csv", "CORE_OWNER_CONFLICT": "Claim.csv vs Policy.csv", "CORE_PREMIUM_OWNER_CONFLICT": "Policy_Premium.csv vs Policy.csv", "CORE_DECISION_DATE_NULLIFIED": "Claim_Payment.csv", "CORE_PAYMENT_DATE_NULLIFIED": "Claim_Payment.csv + Claim.csv"}
+
+
+def repair(df: DataFrame, entity: str, rule: str, severity: str, action: str, field: str, original: str | None, clean: str | None, row: str = "source_raw_row_id") -> DataFrame:
+    name, table = REPAIRED[entity]
+    return event(df, entity, f"{entity}_id", rule, severity, action, field, original, clean, (CONFLICTS.get(rule, name), table), row)
+
+
+def build(s: Staging, known: DataFrame | None = None) -> Core:
+    """The canonical tables of one batch, without direct identifiers of persons, and the repairs' events.
+
+    ``known`` are the identities of earlier batches; those of this batch come first.
+    """
+    identities = s.identities.select("source_customer_id", "customer_id")
+    survivors = identities.select("customer_id").distinct()
+    if known is not None:
+        identities = upsert(known.select("source_customer_id", "customer_id"), identities, ["source_customer_id"])
     customers = accepted(s.customers).join(survivors, "customer_id", "left_semi").withColumn("rank", F.row_number().over(Window.partitionBy("customer_id").orderBy("raw_row_id"))).filter("rank = 1").select(
-        "customer_id", F.when(valid_birth(), c("date_of_birth")).alias("date_of_birth"), "gender", "province", "fsa", "customer_since", c("date_of_birth").alias("raw_birth")
+        "customer_id", F.when(valid_birth(), c("date_of_birth")).alias("date_of_birth"), "gender", "province", "fsa", "customer_since", c("date_of_birth").alias("raw_birth"), c("raw_row_id").alias("source_raw_row_id")
     ).persist()
-    alias = s.identities.withColumnRenamed("source_customer_id", "owner_id").withColumnRenamed("customer_id", "survivor_id")
+    alias = identities.withColumnRenamed("source_customer_id", "owner_id").withColumnRenamed("customer_id", "survivor_id")
     policies = (
         accepted(s.policies).join(alias, c("customer_id") == c("owner_id"))
-        .select("policy_id", c("survivor_id").alias("customer_id"), "policy_type", "plan_name", "coverage_type", "start_date", "end_date", "status", "sales_channel", "coverage_amount", "deductible_amount").persist()
+        .select("policy_id", c("survivor_id").alias("customer_id"), "policy_type", "plan_name", "coverage_type", "start_date", "end_date", "status", "sales_channel", "coverage_amount", "deductible_amount", c("raw_row_id").alias("source_raw_row_id")).persist()
     )
     claims = reconciled_claims(s, policies).persist()
     payments = settled_payments(s, claims).persist()
@@ -98,30 +116,30 @@ def build(s: Staging) -> Core:
     premiums = (
         accepted(s.premiums).join(people, "policy_id")
         .withColumn("derived_band", fn.age_band(fn.age_years(c("date_of_birth"), c("due_date"))))
-        .select("premium_id", "policy_id", c("owner").alias("customer_id"), c("customer_id").alias("claimed_customer_id"), "premium_amount", "premium_frequency", F.coalesce("derived_band", "age_band").alias("age_band"), c("age_band").alias("given_band"), "due_date", "paid_date", "payment_status", "payment_method").persist()
+        .select("premium_id", "policy_id", c("owner").alias("customer_id"), c("customer_id").alias("claimed_customer_id"), "premium_amount", "premium_frequency", F.coalesce("derived_band", "age_band").alias("age_band"), c("age_band").alias("given_band"), "due_date", "paid_date", "payment_status", "payment_method", c("raw_row_id").alias("source_raw_row_id")).persist()
     )
     details = accepted(s.details).drop("adjuster_notes", "parent", "duplicate", "record_status").persist()
     consistent = c("quantity").isNull() | c("unit_amount").isNull() | (F.abs(c("amount") - c("quantity") * c("unit_amount")) <= F.lit("0.01").cast("decimal(4,2)"))
     lines = s.line_items.join(details.select("stem"), "stem", "left_semi").filter(c("line_no").isNotNull() & c("amount").isNotNull() & (c("amount") >= 0) & consistent).persist()
     regions = claims.join(policies.select("policy_id", "customer_id"), ["policy_id", "customer_id"]).join(customers.select("customer_id", "province"), "customer_id")
-    outcomes = claims.join(payments, "claim_id", "left")
-    changed = lambda a, b: ~c(a).eqNullSafe(c(b))
     truth = F.when(c("decision_outcome").isNull(), "pending").otherwise(c("decision_outcome"))
+    outcomes = claims.join(payments.withColumnRenamed("source_raw_row_id", "payment_row"), "claim_id", "left").withColumn("truth", truth)
+    changed = lambda a, b: ~c(a).eqNullSafe(c(b))
     events = [
-        event(customers.filter(c("raw_birth").isNotNull() & c("date_of_birth").isNull()), "customer", "customer_id", "CORE_DOB_NULLIFIED", "error", "repaired", "date_of_birth"),
-        event(claims.filter(changed("service_date", "header_date") & c("service_date").isNotNull()), "claim", "claim_id", "CORE_SERVICE_DATE_REPAIRED", "error", "repaired", "service_date"),
-        event(claims.filter(c("service_date").isNull()), "claim", "claim_id", "CORE_SERVICE_DATE_UNRECOVERABLE", "error", "flagged", "service_date"),
-        event(claims.filter(changed("claim_amount", "header_amount") & c("claim_amount").isNotNull()), "claim", "claim_id", "CORE_CLAIM_AMOUNT_REPAIRED", "error", "repaired", "claim_amount"),
-        event(claims.filter(c("claim_amount").isNull()), "claim", "claim_id", "CORE_CLAIM_AMOUNT_UNRECOVERABLE", "error", "flagged", "claim_amount"),
-        event(claims.filter(F.abs(c("claim_amount") - c("json_amount")) > F.lit("0.01").cast("decimal(4,2)")), "claim", "claim_id", "CORE_AMOUNT_RECON_MISMATCH", "warning", "flagged", "claim_amount"),
-        event(claims.filter(changed("claim_customer_id", "customer_id")), "claim", "claim_id", "CORE_OWNER_CONFLICT", "warning", "repaired", "customer_id"),
-        event(regions.filter(changed("region", "province")), "claim", "claim_id", "CORE_REGION_CONFLICT", "warning", "repaired", "region"),
-        event(outcomes.filter(~c("claim_status").eqNullSafe(truth)), "claim", "claim_id", "CORE_STATUS_CONFLICT", "warning", "repaired", "claim_status"),
-        event(outcomes.filter(c("payment_id").isNotNull() & (c("approved_amount") != c("payment_amount"))), "payment", "payment_id", "CORE_PAYMENT_AMOUNT_CONFLICT", "warning", "flagged", "payment_amount"),
-        event(payments.filter(changed("decision_date", "raw_decision_date")), "payment", "payment_id", "CORE_DECISION_DATE_NULLIFIED", "error", "repaired", "decision_date"),
-        event(payments.filter(c("payment_date").isNull() & c("raw_payment_date").isNotNull() & (c("decision_outcome") != "denied")), "payment", "payment_id", "CORE_PAYMENT_DATE_NULLIFIED", "error", "repaired", "payment_date"),
-        event(premiums.filter(changed("customer_id", "claimed_customer_id")), "premium", "premium_id", "CORE_PREMIUM_OWNER_CONFLICT", "warning", "repaired", "customer_id"),
-        event(premiums.filter(changed("age_band", "given_band")), "premium", "premium_id", "CORE_AGE_BAND_REPAIRED", "warning", "repaired", "age_band"),
-        event(claims.filter(c("json_service_date").isNotNull() & (c("service_date") != c("json_service_date"))), "claim", "claim_id", "CORE_JSON_SERVICE_DATE_MISMATCH", "warning", "flagged", "service_date"),
+        repair(customers.filter(c("raw_birth").isNotNull() & c("date_of_birth").isNull()), "customer", "CORE_DOB_NULLIFIED", "error", "repaired", "date_of_birth", None, None),
+        repair(claims.filter(changed("service_date", "header_date") & c("service_date").isNotNull()), "claim", "CORE_SERVICE_DATE_REPAIRED", "error", "repaired", "service_date", "header_date", "service_date"),
+        repair(claims.filter(c("service_date").isNull()), "claim", "CORE_SERVICE_DATE_UNRECOVERABLE", "error", "flagged", "service_date", "header_date", "service_date"),
+        repair(claims.filter(changed("claim_amount", "header_amount") & c("claim_amount").isNotNull()), "claim", "CORE_CLAIM_AMOUNT_REPAIRED", "error", "repaired", "claim_amount", "header_amount", "claim_amount"),
+        repair(claims.filter(c("claim_amount").isNull()), "claim", "CORE_CLAIM_AMOUNT_UNRECOVERABLE", "error", "flagged", "claim_amount", "header_amount", "claim_amount"),
+        repair(claims.filter(F.abs(c("claim_amount") - c("json_amount")) > F.lit("0.01").cast("decimal(4,2)")), "claim", "CORE_AMOUNT_RECON_MISMATCH", "warning", "flagged", "claim_amount", "claim_amount", "json_amount"),
+        repair(claims.filter(changed("claim_customer_id", "customer_id")), "claim", "CORE_OWNER_CONFLICT", "warning", "repaired", "customer_id", "claim_customer_id", "customer_id"),
+        repair(regions.filter(changed("region", "province")), "claim", "CORE_REGION_CONFLICT", "warning", "repaired", "region", "region", "province"),
+        repair(outcomes.filter(~c("claim_status").eqNullSafe(c("truth"))), "claim", "CORE_STATUS_CONFLICT", "warning", "repaired", "claim_status", "claim_status", "truth"),
+        repair(outcomes.filter(c("payment_id").isNotNull() & (c("approved_amount") != c("payment_amount"))), "payment", "CORE_PAYMENT_AMOUNT_CONFLICT", "warning", "flagged", "payment_amount", "approved_amount", "payment_amount", "payment_row"),
+        repair(payments.filter(changed("decision_date", "raw_decision_date")), "payment", "CORE_DECISION_DATE_NULLIFIED", "error", "repaired", "decision_date", "raw_decision_date", "decision_date"),
+        repair(payments.filter(c("payment_date").isNull() & c("raw_payment_date").isNotNull() & (c("decision_outcome") != "denied")), "payment", "CORE_PAYMENT_DATE_NULLIFIED", "error", "repaired", "payment_date", "raw_payment_date", "payment_date"),
+        repair(premiums.filter(changed("customer_id", "claimed_customer_id")), "premium", "CORE_PREMIUM_OWNER_CONFLICT", "warning", "repaired", "customer_id", "claimed_customer_id", "customer_id"),
+        repair(premiums.filter(changed("age_band", "given_band")), "premium", "CORE_AGE_BAND_REPAIRED", "warning", "repaired", "age_band", "given_band", "age_band"),
+        repair(claims.filter(c("json_service_date").isNotNull() & (c("service_date") != c("json_service_date"))), "claim", "CORE_JSON_SERVICE_DATE_MISMATCH", "warning", "flagged", "service_date", "service_date", "json_service_date"),
     ]
-    return Core(customers, policies, claims, payments, premiums, details, lines, reduce(DataFrame.unionByName, events))
+    return Core(customers, policies, claims, payments, premiums, details, lines, reduce(DataFrame.unionByName, events), identities)

@@ -7,14 +7,17 @@ from dataclasses import fields
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimforge.operators.upsert import replace_children, upsert
+from claimforge.operators.upsert import rebuild, replace_children, upsert
 from claimforge.plans import core, marts, staging
 from claimforge.sources.export import Layers, export_csv
-from claimforge.sources.raw import fingerprint
+from claimforge.sources.raw import EXTRACTS, discover, fingerprint
 
-KEYS = {"customers": "customer_id", "policies": "policy_id", "claims": "claim_id", "payments": "payment_id", "premiums": "premium_id", "details": "claim_id"}
+KEYS = {"customers": "customer_id", "policies": "policy_id", "claims": "claim_id", "payments": "payment_id", "premiums": "premium_id", "details": "claim_id", "identities": "source_customer_id"}
 ORDERS = {"fraud_detection": ["claim_id"], "customer_retention": ["customer_id"], "operational_efficiency": ["claim_id"], "region_wise_insights": ["quarter_start", "province", "product_line", "claim_type"], "policy_optimization": ["policy_type", "plan_name", "coverage_type", "province", "age_band"]}
 PERSONAL = {"first_name", "last_name", "address", "email", "phone", "adjuster_notes", "city", "postal_code"}
+# Fields of customer rows whose values the exported log leaves out, and the order of the log.
+REDACTED = ("first_name", "last_name", "date_of_birth", "address", "city", "postal_code", "phone", "email")
+LOG_ORDER = ["source_name", "source_table", "source_record_id", "business_key", "rule_id", "field_name", "severity", "action", "original_value", "clean_value", "details"]
 SCHEMA = "load_id long, fingerprint string, status string, note string"
 
 
@@ -27,9 +30,11 @@ def register(layers: Layers, fp: str) -> tuple[int, bool]:
     if not layers.has("control"):
         return 1, False
     rows = layers.read("control", "loads").collect()  # one row per batch
-    for r in rows:
-        if r["fingerprint"] == fp:
-            return r["load_id"], r["status"] == "succeeded"
+    same = [r for r in rows if r["fingerprint"] == fp]
+    if len(same) > 1:
+        raise InvalidBatch(f"loads {sorted(r['load_id'] for r in same)} are of one batch")
+    for r in same:
+        return r["load_id"], r["status"] == "succeeded"
     return 1 + max((r["load_id"] for r in rows), default=0), False
 
 
@@ -41,9 +46,9 @@ def record(spark: SparkSession, layers: Layers, load_id: int, fp: str, status: s
     layers.publish("control", {"loads": new})
 
 
-def merged(layers: Layers, batch: core.Core) -> dict[str, DataFrame]:
-    """The canonical tables after a batch: rows of the batch win, children of its claims are replaced."""
-    out = {f.name: getattr(batch, f.name) for f in fields(batch)}
+def merged(layers: Layers, batch: core.Core, load_id: int) -> dict[str, DataFrame]:
+    """The canonical tables after a batch, with the load of each row: rows of the batch win, children of its claims are replaced."""
+    out = {f.name: getattr(batch, f.name).withColumn("source_load_id", F.lit(load_id).cast("long")) for f in fields(batch)}
     if layers.has("core"):
         for name, key in KEYS.items():
             out[name] = upsert(layers.read("core", name), out[name], [key])
@@ -70,9 +75,13 @@ def violations(t: dict[str, DataFrame]) -> dict[str, int]:
     return {name: n for name, n in out.items() if n}
 
 
-def redacted(events: DataFrame) -> DataFrame:
-    """Events without the values that they are about: entity, key, rule, severity, action and field."""
-    return events.select("entity", F.coalesce("business_key", F.lit("")).alias("business_key"), "rule_id", "severity", "action", F.coalesce("field", F.lit("")).alias("field"))
+def redacted(events: DataFrame, load_id: int) -> DataFrame:
+    """The log of a load; values of personal fields of customers are left out, and the details say so."""
+    hide = (F.col("entity") == "customer") & F.coalesce(F.col("field_name").isin(*REDACTED), F.lit(False))
+    note = '"pii_value_redacted":true}'
+    noted = F.coalesce(F.regexp_replace("details", r"\}$", f",{note}"), F.lit("{" + note))
+    shown = lambda x: F.when(~hide, F.col(x)).alias(x)
+    return events.select(F.lit(load_id).cast("long").alias("load_id"), *LOG_ORDER[:8], shown("original_value"), shown("clean_value"), F.when(hide, noted).otherwise(F.col("details")).alias("details"))
 
 
 def run(spark: SparkSession, folder: str, root: str, premiums: bool = True) -> dict[str, int]:
@@ -82,18 +91,21 @@ def run(spark: SparkSession, folder: str, root: str, premiums: bool = True) -> d
     again. A failure is recorded and leaves the published layers as they were.
     """
     layers = Layers(spark, root)
+    discover(spark, folder, [n for n in EXTRACTS if premiums or n != "Policy_Premium"])
     fp = fingerprint(spark, folder)
     load_id, done = register(layers, fp)
     if not done:
         record(spark, layers, load_id, fp, "running")
         try:
             staged = staging.stage(spark, folder, premiums)
-            tables = merged(layers, core.build(staged))
+            known = layers.read("core", "identities") if layers.has("core") else None
+            tables = merged(layers, core.build(staged, known), load_id)
             if broken := violations(tables):
                 raise InvalidBatch(str(broken))
-            log = {"events": redacted(staged.events.unionByName(tables["events"])), "quarantine": staged.quarantine}
-            layers.publish("core", tables)
-            layers.publish("quality", log)
+            quality = {"quality_log": redacted(staged.events.unionByName(tables["events"].drop("source_load_id")), load_id), "quarantine": staged.quarantine.select(F.lit(load_id).cast("long").alias("load_id"), "*")}
+            if layers.has("core"):
+                quality = {name: rebuild(layers.read("core", name), df, "load_id", load_id) for name, df in quality.items()}
+            layers.publish("core", tables | quality)
         except Exception as e:
             record(spark, layers, load_id, fp, "failed", str(e))
             raise
@@ -101,5 +113,5 @@ def run(spark: SparkSession, folder: str, root: str, premiums: bool = True) -> d
     state = core.Core(**{f.name: layers.read("core", f.name) for f in fields(core.Core)})
     layers.publish("marts", {name: mart(state) for name, mart in marts.MARTS.items()})
     rows = {name: export_csv(layers.read("marts", name), f"{root}/output/{name}.csv", ORDERS[name]) for name in marts.MARTS}
-    events = layers.read("quality", "events")
-    return rows | {"data_quality_log": export_csv(events, f"{root}/output/data_quality_log.csv", events.columns)}
+    log = layers.read("core", "quality_log").filter(F.col("load_id") == load_id)
+    return rows | {"data_quality_log": export_csv(log, f"{root}/output/data_quality_log.csv", LOG_ORDER)}

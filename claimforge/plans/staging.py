@@ -131,7 +131,7 @@ def identities(customers: DataFrame) -> DataFrame:
     own = base.select(c("customer_id").alias("source_customer_id"), c("raw_row_id").alias("source_row"), "customer_id", "raw_row_id", "valid", "score", "last_updated")
     order = Window.partitionBy("source_customer_id").orderBy(F.desc_nulls_first("valid"), F.desc("score"), F.desc_nulls_last("last_updated"), "raw_row_id")
     best = pairs.select(*columns).unionByName(own).withColumn("rank", F.row_number().over(order)).filter("rank = 1")
-    return best.select("source_customer_id", "customer_id")
+    return best.select("source_customer_id", "customer_id", "source_row")
 
 
 def documents(files: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -163,19 +163,44 @@ def documents(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return details, lines
 
 
-def event(df: DataFrame, entity: str, key: str, rule: str | Column, severity: str, action: str, field: str | None = None) -> DataFrame:
+# The file and the raw table of each entity's source.
+SOURCES = {
+    "customer": ("Customer.csv", "raw.customer_csv"), "policy": ("Policy.csv", "raw.policy_csv"), "claim": ("Claim.csv", "raw.claim_csv"), "payment": ("Claim_Payment.csv", "raw.claim_payment_csv"),
+    "premium": ("Policy_Premium.csv", "raw.policy_premium_csv"), "claim_detail": (None, "raw.claim_detail_files"),
+}
+
+
+def event(df: DataFrame, entity: str, key: str, rule: str | Column, severity: str, action: str, field: str | None = None, original: str | None = None, clean: str | None = None, source: tuple | None = None, row: str = "raw_row_id", parent: str | None = None) -> DataFrame:
+    """Events of all rows of ``df`` with their source, row, and the value of ``field`` before and after.
+
+    Values come from the columns ``original`` and ``clean``, by default the raw and the typed one where
+    ``df`` has them. ``parent`` names a column of the details. A document's source is its file.
+    """
+    name, table = source or SOURCES[entity]
+    if field and "raw" in df.columns and field in df.schema["raw"].dataType.names:
+        original, clean = original or f"raw.{field}", clean or field
+    text = lambda x: (c(x) if x else F.lit(None)).cast("string")
+    file = F.concat("stem", F.lit(".json")) if name is None and "stem" in df.columns else F.concat(key, F.lit(".json"))
     return df.select(
-        F.lit(entity).alias("entity"), c(key).alias("business_key"), (F.lit(rule) if isinstance(rule, str) else rule).alias("rule_id"),
-        F.lit(severity).alias("severity"), F.lit(action).alias("action"), F.lit(field).cast("string").alias("field"),
+        F.lit(entity).alias("entity"), (file if name is None else F.lit(name)).alias("source_name"), F.lit(table).alias("source_table"), (c(row) if row in df.columns else F.lit(None)).cast("long").alias("source_record_id"),
+        c(key).alias("business_key"), (F.lit(rule) if isinstance(rule, str) else rule).alias("rule_id"), F.lit(field).cast("string").alias("field_name"), F.lit(severity).alias("severity"), F.lit(action).alias("action"),
+        text(original).alias("original_value"), text(clean).alias("clean_value"), (F.to_json(F.struct(c(parent))) if parent else F.lit(None).cast("string")).alias("details"),
     )
 
 
 def format_events(df: DataFrame, entity: str, key: str, fields: dict[str, str]) -> DataFrame:
     """One event for each field whose raw text differs from its typed value; one array, taken apart once."""
+    name, table = SOURCES[entity]
     rows = F.array_compact(F.array(*(
-        F.when(~c(f"raw.{f}").eqNullSafe(c(f).cast("string")) & c(f"raw.{f}").isNotNull(), F.struct(F.lit(rule).alias("rule_id"), F.lit(f).alias("field"))) for f, rule in fields.items()
+        F.when(
+            ~c(f"raw.{f}").eqNullSafe(c(f).cast("string")) & c(f"raw.{f}").isNotNull(),
+            F.struct(F.lit(rule).alias("rule_id"), F.lit(f).alias("field_name"), c(f"raw.{f}").alias("original_value"), c(f).cast("string").alias("clean_value")),
+        ) for f, rule in fields.items()
     )))
-    return df.select(c(key).alias("business_key"), F.inline(rows)).select(F.lit(entity).alias("entity"), "business_key", "rule_id", F.lit("info").alias("severity"), F.lit("normalized").alias("action"), "field")
+    return df.select(c("raw_row_id").alias("source_record_id"), c(key).alias("business_key"), F.inline(rows)).select(
+        F.lit(entity).alias("entity"), F.lit(name).alias("source_name"), F.lit(table).alias("source_table"), "source_record_id", "business_key", "rule_id", "field_name",
+        F.lit("info").alias("severity"), F.lit("normalized").alias("action"), "original_value", "clean_value", F.lit(None).cast("string").alias("details"),
+    )
 
 
 def classify(own: str, dates: Column | None = None) -> Column:
@@ -244,13 +269,13 @@ def stage(spark: SparkSession, folder: str, premiums: bool = True) -> Staging:
         event(customers.filter("raw.date_of_birth is not null and date_of_birth is null"), "customer", "customer_id", "PARSE_DATE", "error", "flagged", "date_of_birth"),
         event(customers.filter(~c("date_of_birth").between("1900-01-02", "2026-06-30")), "customer", "customer_id", "INV_AGE", "error", "flagged", "date_of_birth"),
         event(customers.filter(unserved), "customer", "customer_id", "INV_UNSERVED_PROVINCE", "error", "quarantined", "province"),
-        event(people.filter("source_customer_id <> customer_id"), "customer", "source_customer_id", "DUP_ENTITY", "warning", "deduplicated"),
+        event(people.filter("source_customer_id <> customer_id"), "customer", "source_customer_id", "DUP_ENTITY", "warning", "deduplicated", "customer_id", "source_customer_id", "customer_id", row="source_row"),
         event(policies.filter("raw.plan_name is null and plan_name is not null"), "policy", "policy_id", "MISS_ERROR", "info", "repaired", "plan_name"),
         *(event(df.filter("duplicate"), name, key, F.when(c("exact"), "DUP_EXACT").otherwise(near), "warning", "deduplicated") for df, name, key, near in ((claims, "claim", "claim_id", "DUP_NEAR_KEY"), (payments, "payment", "payment_id", "DUP_EXACT"), (prem, "premium", "premium_id", "DUP_EXACT"))),
-        event(rejected(policies), "policy", "policy_id", classify("INVALID_REQUIRED", c("end_date") < c("start_date")), "error", "quarantined"),
-        *(event(rejected(df), name, key, classify("INVALID_REQUIRED"), "error", "quarantined") for df, name, key in ((claims, "claim", "claim_id"), (payments, "payment", "payment_id"), (prem, "premium", "premium_id"))),
-        event(rejected(details), "claim_detail", "claim_id", F.when(c("parent").isNull(), "JSON_ORPHAN").when(c("parent") != "accepted", "UPSTREAM_PARENT_REJECTED").otherwise("JSON_INVALID_REQUIRED"), "error", "quarantined"),
-        event(files.filter("payload is null"), "claim_detail", "stem", "JSON_MALFORMED", "error", "quarantined"),
+        event(rejected(policies), "policy", "policy_id", classify("INVALID_REQUIRED", c("end_date") < c("start_date")), "error", "quarantined", parent="customer_id"),
+        *(event(rejected(df), name, key, classify("INVALID_REQUIRED"), "error", "quarantined", parent=parent) for df, name, key, parent in ((claims, "claim", "claim_id", "policy_id"), (payments, "payment", "payment_id", "claim_id"), (prem, "premium", "premium_id", "policy_id"))),
+        event(rejected(details), "claim_detail", "claim_id", F.when(c("parent").isNull(), "JSON_ORPHAN").when(c("parent") != "accepted", "UPSTREAM_PARENT_REJECTED").otherwise("JSON_INVALID_REQUIRED"), "error", "quarantined", parent="claim_id"),
+        event(files.filter("payload is null").withColumn("start", F.left("raw_text", F.lit(500))), "claim_detail", "stem", "JSON_MALFORMED", "error", "quarantined", original="start"),
         *(event(claims.filter((c("record_status") == "accepted") & c(f).isNull()), "claim", "claim_id", "MISS_ERROR", "error", "flagged", f) for f in ("service_date", "claim_amount")),
         event(payments.filter("record_status = 'accepted' and decision_date is null"), "payment", "payment_id", "MISS_ERROR", "error", "flagged", "decision_date"),
         event(payments.filter("record_status = 'accepted' and decision_date < processing_start_date"), "payment", "payment_id", "INV_DATE_ORDER", "error", "flagged", "decision_date"),
@@ -260,8 +285,9 @@ def stage(spark: SparkSession, folder: str, premiums: bool = True) -> Staging:
         *drift_events(files),
     ]
     log = reduce(DataFrame.unionByName, events).persist()
-    quarantine = log.filter("action = 'quarantined'").select("entity", "business_key", "rule_id").distinct()
-    return Staging(customers, policies, claims, payments, prem, details, lines, people, log, quarantine)
+    reason = F.when(c("rule_id") == "JSON_MALFORMED", "JSON could not be parsed").otherwise("Rejected during staging validation")
+    quarantine = log.filter("action = 'quarantined'").select("source_name", "source_table", "source_record_id", "business_key", "rule_id", reason.alias("reason"), "details").distinct()
+    return Staging(customers, policies, claims, payments, prem, details, lines, people.drop("source_row"), log, quarantine)
 
 
 def drift_events(files: DataFrame) -> list[DataFrame]:

@@ -45,25 +45,36 @@ def export_csv(df: DataFrame, path: str, order: list[str]) -> int:
 
 
 class Layers:
-    """Tables of one load in a folder: all are written to a hidden place, then moved there at once."""
+    """Tables of a layer in numbered versions; readers see the newest that is complete.
+
+    A version is written whole and then marked by one empty file, so a crash at any point leaves the
+    version before it in place. Publishing removes all but the new version and the one before.
+    """
+
+    DONE = "_complete"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self.path = spark._jvm.org.apache.hadoop.fs.Path
         self.fs = self.path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def versions(self, layer: str, complete: bool = True) -> list[int]:
+        folder = self.path(f"{self.root}/{layer}")
+        names = [x.getPath().getName() for x in self.fs.listStatus(folder)] if self.fs.exists(folder) else []
+        return sorted(int(n) for n in names if n.isdigit() and (not complete or self.fs.exists(self.path(f"{self.root}/{layer}/{n}/{self.DONE}"))))
+
     def publish(self, layer: str, tables: dict[str, DataFrame]) -> None:
-        hidden, shown = f"{self.root}/_{layer}.new", f"{self.root}/{layer}"
-        self.fs.delete(self.path(hidden), True)
+        new = max(self.versions(layer, complete=False), default=0) + 1
         for name, df in tables.items():
             variants = [f.name for f in df.schema if f.dataType.typeName() == "variant"]
-            df.drop(*variants).write.parquet(f"{hidden}/{name}")
-        self.fs.delete(self.path(shown), True)
-        if not self.fs.rename(self.path(hidden), self.path(shown)):
-            raise OSError(f"cannot publish {shown}")
+            df.drop(*variants).write.parquet(f"{self.root}/{layer}/{new}/{name}")
+        self.fs.create(self.path(f"{self.root}/{layer}/{new}/{self.DONE}"), True).close()
+        kept = self.versions(layer)[-2:]
+        for old in set(self.versions(layer, complete=False)) - set(kept):
+            self.fs.delete(self.path(f"{self.root}/{layer}/{old}"), True)
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{layer}/{name}")
+        return self.spark.read.parquet(f"{self.root}/{layer}/{self.versions(layer)[-1]}/{name}")
 
     def has(self, layer: str) -> bool:
-        return self.fs.exists(self.path(f"{self.root}/{layer}"))
+        return bool(self.versions(layer))

@@ -43,6 +43,17 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def discover(spark: SparkSession, folder: str, names: list[str]) -> None:
+    """Raise an error that names every extract missing from ``folder``, and the documents if there are none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    missing = [f"{n}.csv" for n in names if not fs.exists(path(f"{folder}/{n}.csv"))]
+    if not fs.exists(path(f"{folder}/json")) or spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.json").load(f"{folder}/json").select("path").isEmpty():
+        missing.append("json/*.json")
+    if missing:
+        raise FileNotFoundError(f"{folder} lacks {', '.join(missing)}")
+
+
 def fingerprint(spark: SparkSession, folder: str) -> str:
     """sha256 over the sorted paths and content hashes of all files of a batch."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)

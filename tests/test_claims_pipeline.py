@@ -80,9 +80,14 @@ def read(path):
         return list(csv.DictReader(f))
 
 
-def test_run_twice(spark, batch, tmp_path):
-    root = str(tmp_path / "out")
-    first = pipeline.run(spark, batch, root)
+@pytest.fixture(scope="module")
+def published(spark, batch, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("published") / "out")
+    return root, pipeline.run(spark, batch, root)
+
+
+def test_run_twice(spark, batch, published):
+    root, first = published
     fraud = {r["claim_id"]: r for r in read(f"{root}/output/fraud_detection.csv")}
     assert len(fraud["H00001"]) == 43 and fraud["H00001"]["f1_early_claim_flag"] == "True" and fraud["H00001"]["f7_missing_required_documents_flag"] == "True" and fraud["H00001"]["f8_unusual_submission_time_flag"] == "True"
     assert fraud["D00001"]["f2_waiting_period_flag"] == "True" and fraud["D00001"]["provider_claim_share"] == "1.0000"
@@ -102,3 +107,38 @@ def test_broken_batches_publish_nothing(spark, batch, tmp_path):
     with pytest.raises(Exception):
         pipeline.run(spark, str(tmp_path / "in"), root)
     assert not (tmp_path / "out" / "core").exists()
+
+
+def test_log_and_quarantine(spark, published):
+    root, _ = published
+    log = {(r["business_key"], r["rule_id"], r["field_name"]): r for r in read(f"{root}/output/data_quality_log.csv")}
+    date = log["P00001", "FMT_DATE", "start_date"]
+    assert (date["load_id"], date["source_name"], date["source_table"], date["source_record_id"]) == ("1", "Policy.csv", "raw.policy_csv", "2")
+    assert (date["original_value"], date["clean_value"], date["details"]) == ("01/15/2024", "2024-01-15", "")
+    hidden = log["C00001", "FMT_POSTAL", "postal_code"]
+    assert (hidden["original_value"], hidden["clean_value"], hidden["details"]) == ("", "", '{"pii_value_redacted":true}')
+    amount = log["D00001", "CORE_CLAIM_AMOUNT_REPAIRED", "claim_amount"]
+    assert (amount["source_table"], amount["source_record_id"], amount["original_value"], amount["clean_value"]) == ("staging.claims", "4", "2000.00", "200.00")
+    assert not any("Tremble" in "".join(r.values()) or "S4P" in "".join(r.values()) for r in log.values())
+    layers = pipeline.Layers(spark, root)
+    held = {(r.business_key, r.rule_id): r for r in layers.read("core", "quarantine").collect()}
+    assert held["H00009", "ORPHAN_FK"].details == '{"policy_id":"P99999"}' and held["H00009", "ORPHAN_FK"].source_record_id == 6
+    assert held["H00005", "JSON_MALFORMED"].source_name == "H00005.json" and held["H00005", "JSON_MALFORMED"].reason == "JSON could not be parsed"
+    assert {r.source_load_id for r in layers.read("core", "claims").collect()} == {1}
+
+
+def test_incomplete_versions_are_not_seen(spark, tmp_path):
+    layers = pipeline.Layers(spark, str(tmp_path))
+    for n in range(3):
+        layers.publish("core", {"t": spark.range(n + 1)})
+    spark.range(9).write.parquet(f"{tmp_path}/core/4/t")  # a crash before the version was complete
+    assert layers.versions("core") == [2, 3] and layers.read("core", "t").count() == 3
+    layers.publish("core", {"t": spark.range(7)})
+    assert layers.versions("core", complete=False) == [3, 5] and layers.read("core", "t").count() == 7
+
+
+def test_identities_are_kept_across_batches(spark, batch):
+    s = staging.stage(spark, batch)
+    known = spark.createDataFrame([("C00002", "C00008"), ("C00077", "C00001")], "source_customer_id string, customer_id string")
+    built = core.build(s, known)
+    assert {tuple(r) for r in built.identities.collect()} == {("C00001", "C00001"), ("C00002", "C00001"), ("C00004", "C00004"), ("C00077", "C00001")}

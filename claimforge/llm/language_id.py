@@ -98,20 +98,21 @@ class Model:
         """Summed -log2 p of the characters under each language."""
         total = np.zeros(len(self.languages))
         order = len(self.tables)
+        lead = order - 1
+        padded = np.concatenate([np.full(lead, 32, a.dtype), a])
         for start in range(0, len(a), CHUNK):
-            lead = min(start, order - 1)
-            hs = [h[lead:] for h in hashes(a[start - lead : start + CHUNK], order)]
-            at = np.arange(len(hs[0]))
+            hs = hashes(padded[start : start + lead + CHUNK], order)
+            at = np.arange(lead, len(hs[0]))
             for n in range(order, 0, -1):  # places whose n-gram no language has seen go on to the shorter one
                 keys, logs = self.tables[n - 1]
                 if not len(at):
                     break
-                i, hit = keys.find(hs[n - 1][at] if n < order else hs[n - 1])
+                i, hit = keys.find(hs[n - 1][at])
                 total -= logs.take(i[hit], 0).sum(0)
                 at = at[~hit]
                 if n > 1 and len(at):  # the weight that an unseen character has after this context
                     contexts, weight = self.backoff[n - 1]
-                    j, seen = contexts.find(hs[n - 2][at[at > 0] - 1])
+                    j, seen = contexts.find(hs[n - 2][at - 1])
                     total -= weight.take(j[seen], 0).sum(0)
             total -= len(at) * self.floor
         return total
@@ -172,21 +173,23 @@ def gram_counts(sample: DataFrame, languages: list[str]) -> DataFrame:
 
 
 def batch_counts(batch: pa.RecordBatch, index: dict[str, int]):
+    """Counts of n-grams by language; a text has spaces before it and one after it, and meets no other text."""
     by_lang: dict[int, list[np.ndarray]] = {}
     for t, x in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
-        by_lang.setdefault(index[x], []).append(np.append(codes(t or ""), np.uint32(32)))
+        a = codes(t or "")
+        if (a != 32).any():
+            by_lang.setdefault(index[x], []).append(np.pad(a, (ORDER - 1, 1), constant_values=32))
     for lang, parts in by_lang.items():
-        a = np.concatenate(parts)
-        hs = hashes(a, ORDER)
-        # the same places without their last character: the context of an n-gram
+        hs = hashes(np.concatenate(parts), ORDER)
+        starts = np.cumsum([0] + [len(x) for x in parts])
+        real = np.ones(starts[-1], bool)
+        real[(starts[:-1, None] + np.arange(ORDER - 1)).ravel()] = False
+        at = np.flatnonzero(real)
         for n in range(1, ORDER + 1):
-            grams, first, c = np.unique(hs[n - 1], return_index=True, return_counts=True)
-            context = np.zeros(len(grams), np.uint64)
-            if n > 1:
-                before = np.append(np.uint64(0), hs[n - 2][:-1])
-                context = before[first]
-                ok = first > 0
-                grams, first, c, context = grams[ok], first[ok], c[ok], context[ok]
+            grams, first, c = np.unique(hs[n - 1][at], return_index=True, return_counts=True)
+            first = at[first]
+            # the same places without their last character: the context of an n-gram
+            context = hs[n - 2][first - 1] if n > 1 else np.zeros(len(grams), np.uint64)
             suffix = hs[n - 2][first] if n > 1 else np.zeros(len(grams), np.uint64)
             yield n, lang, grams, context, suffix, c
 

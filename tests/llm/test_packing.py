@@ -45,3 +45,31 @@ def test_round_trip(spark):
         assert at <= 128
     assert len(sequences) <= 1.03 * sum(r.length for r in rows) / 128 + 2
     assert pack(df.limit(0)).count() == 0
+
+
+def fewest(lengths, size):
+    """The least number of sequences, by trying every place of every piece."""
+    best = len(lengths)
+
+    def place(i, rooms):
+        nonlocal best
+        if len(rooms) > best or i == len(lengths):
+            best = min(best, len(rooms))
+            return
+        for r in {r for r in rooms if r >= lengths[i]}:
+            rest = list(rooms)
+            rest.remove(r)
+            place(i + 1, [*rest, r - lengths[i]])
+        place(i + 1, [*rooms, size - lengths[i]])
+
+    place(0, [])
+    return best
+
+
+def test_plan_against_exact_packing():
+    rng = np.random.default_rng(8)
+    more = []
+    for _ in range(120):
+        lengths = sorted(rng.integers(1, 17, rng.integers(1, 10)).tolist(), reverse=True)
+        more.append(sum(n for _, n in plan(Counter(lengths), 16)) - fewest(lengths, 16))
+    assert min(more) == 0 and max(more) <= 1 and sum(more) <= 6

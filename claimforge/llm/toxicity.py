@@ -43,8 +43,8 @@ MASKED = re.compile(r"[^\W\d_]+[\d@$!*#_]+[^\W\d_]+")
 SHOUTED = re.compile(r"\b[A-Z]{3,}\b")
 NAMES = ("hits", "hit_rate", "strongest", "mean_weight", "insult_rate", "near_address", "address_rate", "capital_rate", "shout_rate", "exclaim_rate", "mark_rate", "digit_rate", "masked_rate", "masked_hits", "log_words")
 
-CLASS = np.zeros(65536, np.uint8)  # 1 capital, 2 ! or ?, 3 other mark, 4 digit
-for _c in range(1, 1024):
+CLASS = np.zeros(65536, np.uint8)  # 1 capital, 2 ! or ?, 3 other mark, 4 digit; code points beyond count as none
+for _c in range(1, 65535):
     _s = chr(_c)
     CLASS[_c] = 1 if _s.isupper() else 2 if _s in "!?" else 4 if _s.isdigit() else 3 if _s.isprintable() and not _s.isalnum() and not _s.isspace() else 0
 

@@ -1,6 +1,11 @@
+import math
 import random
+import re
 import zlib
 
+import numpy as np
+
+from claimforge.llm import toxicity as m
 from claimforge.llm.toxicity import toxicity
 
 
@@ -37,5 +42,56 @@ def test_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r.score for r in toxicity(docs, none).collect()] == [0.0, 0.0]
     one = spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, toxic int")
-    assert all(r.score in (0.0, 1.0) for r in toxicity(docs, one).collect())
+    learnt = any(zlib.crc32(str(i).encode()) % 5 for i in (1, 2))
+    assert [r.score for r in toxicity(docs, one).collect()] == [float(learnt)] * 2
     assert toxicity(docs.limit(0), none).count() == 0
+
+
+def plain_features(text, lexicon):
+    """The features by their definitions, a word and a character at a time."""
+    words = re.findall(r"\w+", text.lower())
+    weigh = lambda w: max([lexicon.get(w, 0.0)] + [lexicon.get("^" + w[:k], 0.0) for k in m.PREFIXES if len(w) > k])
+    hits = [i for i, w in enumerate(words) if weigh(w)]
+    weights = [weigh(words[i]) for i in hits]
+    address = [i for i, w in enumerate(words) if w in m.ADDRESS]
+    n, size = max(1, len(words)), max(1, len(text))
+    masked = re.findall(r"[^\W\d_]+[\d@$!*#_]+[^\W\d_]+", text)
+    plain = [x.lower().translate(m.STAND_INS) for x in masked]
+    mark = lambda c: c.isprintable() and not (c.isalnum() or c.isspace() or c in "!?" or c.isupper())
+    return [
+        math.log1p(len(hits)), len(hits) / n, max(weights, default=0.0), sum(weights) / max(1, len(hits)),
+        sum(w in m.INSULTS for w in words) / n, sum(any(abs(i - j) <= m.NEAR for j in address) for i in hits) / max(1, len(hits)), len(address) / n,
+        sum(c.isupper() for c in text) / size, len(re.findall(r"\b[A-Z]{3,}\b", text)) / n,
+        sum(c in "!?" for c in text) / size, sum(map(mark, text)) / size, sum(c.isdigit() for c in text) / size,
+        len(masked) / n, math.log1p(sum(weigh(x) > 0 or x in m.INSULTS for x in plain)), math.log1p(len(words)),
+    ]
+
+
+def walk(lines, x):
+    """The prediction of a tree in Spark's printed form, whose lines are read in order."""
+    line = next(lines)
+    if line.startswith("Predict:"):
+        return float(line.split(":")[1])
+    feature, bound = re.match(r"If \(feature (\d+) <= (\S+)\)", line).groups()
+    low = walk(lines, x)
+    next(lines)
+    high = walk(lines, x)
+    return low if x[int(feature)] <= float(bound) else high
+
+
+def test_scores_equal_a_plain_walk_of_the_trees(spark):
+    rows, labels = corpus(400)
+    texts = [t for _, t, _, _ in rows[:60]] + ["", "YOU are a ZORKISH f00l!!", "“Was?” — zork1sh… ÉCOLE 12", "you quibble " * 30, "st_upid 1d1ot du vexoabc"]
+    docs = spark.createDataFrame([(i, t) for i, t, _, _ in rows], "doc_id long, text string")
+    model = m.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert model.words and any(w.startswith("^vexo") for w in model.words)
+    got = {r.i: r.score for r in model.score(spark.createDataFrame(list(enumerate(texts)), "i long, text string")).select("row.i", "score").collect()}
+    bounds, values = (np.array(model.calibration.boundaries.toArray()), np.array(model.calibration.predictions.toArray()))
+    assert (np.diff(bounds) >= 0).all() and (np.diff(values) >= 0).all() and values[0] >= 0 and values[-1] <= 1
+    trees = [t.toDebugString for t in model.trees.trees]
+    for i, t in enumerate(texts):
+        x = plain_features(t, model.words)
+        assert np.allclose(x, m.features(t, m.Weights(model.words)), atol=1e-12)
+        margin = sum(w * walk(iter([y.strip() for y in d.splitlines() if y.strip()][1:]), x) for w, d in zip(model.trees.treeWeights, trees, strict=True))
+        p = 1 / (1 + math.exp(-2 * margin))
+        assert abs(got[i] - np.interp(p, bounds, values)) < 1e-9

@@ -10,6 +10,7 @@ from claimforge.llm.line_dedup import op2_line_dedup
 from claimforge.llm.mixing import OP4_SQL, op4_source_mixing
 from claimforge.llm.multi_index import op5_multi_index_ann
 from claimforge.llm.packing import op8_best_fit_packing
+from claimforge.llm.simhash import op11_simhash_near_dedup
 from claimforge.llm.token_counts import op3_token_counts
 from claimforge.llm.toxicity import op1_toxicity
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op5_multi_index_ann": op5_multi_index_ann,
     "op7_exact_topk": op7_exact_topk,
+    "op11_simhash_near_dedup": op11_simhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {"op4_source_mixing": OP4_SQL, "op7_exact_topk": OP7_SQL}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from claimforge.llm.attention_lm import op9_lm_scoring
 from claimforge.llm.exact_topk import OP7_SQL, op7_exact_topk
+from claimforge.llm.fill_middle import OP12_SQL, op12_fill_in_middle
 from claimforge.llm.jaccard_join import op10_ngram_jaccard_join
 from claimforge.llm.language_id import op6_language_id
 from claimforge.llm.line_dedup import op2_line_dedup
@@ -26,6 +27,7 @@ QUERIES = {
     "op5_multi_index_ann": op5_multi_index_ann,
     "op7_exact_topk": op7_exact_topk,
     "op11_simhash_near_dedup": op11_simhash_near_dedup,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
-ORACLES: dict[str, str] = {"op4_source_mixing": OP4_SQL, "op7_exact_topk": OP7_SQL}
+ORACLES: dict[str, str] = {"op4_source_mixing": OP4_SQL, "op7_exact_topk": OP7_SQL, "op12_fill_in_middle": OP12_SQL}

@@ -14,6 +14,7 @@ from claimforge.llm.packing import op8_best_fit_packing
 from claimforge.llm.simhash import op11_simhash_near_dedup
 from claimforge.llm.token_counts import op3_token_counts
 from claimforge.llm.toxicity import op1_toxicity
+from claimforge.llm.whitening import op13_embedding_whitening
 
 QUERIES = {
     "op3_token_counts": op3_token_counts,
@@ -28,6 +29,7 @@ QUERIES = {
     "op7_exact_topk": op7_exact_topk,
     "op11_simhash_near_dedup": op11_simhash_near_dedup,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLES: dict[str, str] = {"op4_source_mixing": OP4_SQL, "op7_exact_topk": OP7_SQL, "op12_fill_in_middle": OP12_SQL}

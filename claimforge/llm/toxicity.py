@@ -39,7 +39,8 @@ ADDRESS = frozenset("you your yours yourself youre u ur du dich dir dein deine i
 STAND_INS = str.maketrans("013457@$!", "oieastasi")
 
 WORD = re.compile(r"\w+")
-MASKED = re.compile(r"[^\W\d_]+[\d@$!*#_]+[^\W\d_]+")
+# starts where a run of letters starts and gives nothing back, so a run of any length is read twice at most
+MASKED = re.compile(r"(?<![^\W\d_])[^\W\d_]++[\d@$!*#_]++[^\W\d_]++")
 SHOUTED = re.compile(r"\b[A-Z]{3,}\b")
 NAMES = ("hits", "hit_rate", "strongest", "mean_weight", "insult_rate", "near_address", "address_rate", "capital_rate", "shout_rate", "exclaim_rate", "mark_rate", "digit_rate", "masked_rate", "masked_hits", "log_words")
 

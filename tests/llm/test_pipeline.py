@@ -75,3 +75,9 @@ def test_whole_run_packs_what_stays(spark, sf_dir):
         assert r.offset == ends.get(r.sequence_id, 0)
         ends[r.sequence_id] = r.offset + r.length
     assert ends and max(ends.values()) <= 2048
+
+
+@pytest.mark.parametrize("char", ["x", "日"])
+def test_one_long_run_of_letters_passes_the_first_stage(spark, sf_dir, char):
+    docs = documents(spark, [char * 1_000_000, "calm words"])
+    assert {r.doc_id for r in cp.drop_toxic(spark, docs, sf_dir).select("doc_id").collect()} == {1, 2, None}

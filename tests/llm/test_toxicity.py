@@ -1,9 +1,13 @@
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from claimforge.llm import toxicity as m
 from claimforge.llm.toxicity import toxicity
@@ -95,3 +99,16 @@ def test_scores_equal_a_plain_walk_of_the_trees(spark):
         margin = sum(w * walk(iter([y.strip() for y in d.splitlines() if y.strip()][1:]), x) for w, d in zip(model.trees.treeWeights, trees, strict=True))
         p = 1 / (1 + math.exp(-2 * margin))
         assert abs(got[i] - np.interp(p, bounds, values)) < 1e-9
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(st.sampled_from("abéZ日_019@$!*# .\n"), max_size=30))
+def test_masked_words_equal_the_plain_pattern(text):
+    assert m.MASKED.findall(text) == re.findall(r"[^\W\d_]+[\d@$!*#_]+[^\W\d_]+", text)
+
+
+@pytest.mark.parametrize("text", ["x" * 1_000_000, "X" * 1_000_000, "日" * 1_000_000, "x" * 500_000 + "@" * 500_000, "x1" * 500_000, "_" * 1_000_000], ids=["letters", "capitals", "cjk", "marks", "mixed", "underscores"])
+def test_long_runs_take_linear_time(text):
+    began = time.perf_counter()
+    made = m.features(text, m.Weights({"x": 1.0}))
+    assert len(made) == len(m.NAMES) and all(map(math.isfinite, made)) and time.perf_counter() - began < 4

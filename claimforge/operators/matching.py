@@ -1,28 +1,99 @@
-"""Matching in time: counts in a trailing range of days, and the nearest row before or after."""
+"""Matching without pairs: counts in a trailing range of days, the nearest row in time, the best row alike.
+
+Each of these is a self-join or a join with an inequality by its definition. Here rows are first added up to
+what matters of them (one row for a key and day, or for a key and class), so that the work is linear in the
+rows of a key and a hot key is never one task.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Days of a bucket in which trailing counts are made.
+BUCKET = 1024
+
+
+def _tags(n: int) -> list[str]:
+    """Column names that no table has."""
+    mark = uuid.uuid4().hex
+    return [f"c{i}_{mark}" for i in range(n)]
+
 
 def rolling_count(df: DataFrame, keys: list[str], day: str, days: int, name: str) -> DataFrame:
     """Add the number of rows with the same keys in the ``days`` days that end with the row's own.
 
-    One sort within the keys instead of a self-join that pairs rows.
+    Rows become counts of a key and day. Days of a key are dealt into buckets, and each bucket also gets the last
+    days of the one before it, so that it counts on its own: a task holds the days of one bucket. Rows without a
+    key or day count none.
     """
-    at = F.datediff(F.col(day), F.lit("1970-01-01"))
-    w = Window.partitionBy(*keys).orderBy(at).rangeBetween(1 - days, 0)
-    return df.withColumn(name, F.count("*").over(w))
+    at, n, bucket, total, *own = _tags(4 + len(keys))
+    width = max(days, BUCKET)
+    known = df.filter(" and ".join(f"`{x}` is not null" for x in [*keys, day]))
+    daily = known.groupBy(*(F.col(k).alias(o) for k, o in zip(keys, own, strict=True)), F.datediff(F.col(day), F.lit("1970-01-01")).alias(at)).agg(F.count("*").alias(n))
+    home = F.floor(F.col(at) / width)
+    dealt = daily.withColumn(bucket, F.explode(F.array_distinct(F.array(home, F.floor((F.col(at) + days - 1) / width)))))
+    trailing = Window.partitionBy(*own, bucket).orderBy(at).rangeBetween(1 - days, 0)
+    counted = dealt.withColumn(total, F.sum(n).over(trailing)).filter(F.col(bucket) == home).drop(bucket, n)
+    same = [F.col(k) == F.col(o) for k, o in zip(keys, own, strict=True)] + [F.datediff(F.col(day), F.lit("1970-01-01")) == F.col(at)]
+    return df.join(counted, same, "left").withColumn(name, F.coalesce(total, F.lit(0))).drop(total, at, *own)
 
 
 def nearest_by_date(left: DataFrame, right: DataFrame, keys: list[str], left_day: str, right_day: str, values: list[str], id_columns: list[str], how: str = "inner") -> DataFrame:
     """For each left row the values of the right row nearest in time, and ``days`` between them.
 
-    Ties go to the earlier day and then to the least values. Grouping keeps the least candidate
-    while it reads, so no list of candidates is ever held.
+    Ties go to the earlier day and then to the least values. Both sides become one row for a key and day, in one
+    order; the last right day up to a left day and the first from it on are running values of that order, and the
+    nearer one wins. Left rows without a match go with ``inner`` and have nulls with ``left``.
+    """
+    at, best, before, after, near, *own = _tags(5 + len(keys))
+    as_own = [F.col(k).alias(o) for k, o in zip(keys, own, strict=True)]
+    found = right.filter(F.col(right_day).isNotNull()).groupBy(*as_own, F.col(right_day).cast("date").alias(at)).agg(F.min(F.struct(*values)).alias(best))
+    asked = left.filter(F.col(left_day).isNotNull()).select(*as_own, F.col(left_day).cast("date").alias(at)).distinct()
+    wanted = F.bool_or(F.col(before)).alias(before)
+    line = asked.withColumn(before, F.lit(True)).unionByName(found.withColumn(before, F.lit(False)), allowMissingColumns=True).groupBy(*own, at).agg(wanted, F.max(best).alias(best))
+    here = F.when(F.col(best).isNotNull(), F.struct(F.col(at).alias("day"), F.col(best).alias("row")))
+    up, down = Window.partitionBy(*own).orderBy(at), Window.partitionBy(*own).orderBy(F.desc(at))
+    running = lambda w: F.last(here, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    sides = line.withColumn(after, running(down)).withColumn(near, running(up)).filter(before)
+    distance = lambda x: F.when(F.col(x).isNotNull(), F.struct(F.abs(F.datediff(F.col(x)["day"], F.col(at))).alias("days"), F.col(x)["day"].alias("day"), F.col(x)["row"].alias("row")))
+    chosen = sides.select(*own, at, F.least(distance(near), distance(after)).alias(best))
+    same = [F.col(k) == F.col(o) for k, o in zip(keys, own, strict=True)] + [F.col(left_day).cast("date") == F.col(at)]
+    out = left.select(*dict.fromkeys([*id_columns, *keys, left_day])).join(chosen.filter(F.col(best).isNotNull()), same, how)
+    return out.select(*id_columns, F.col(best)["days"].alias("days"), F.col(best)["day"].alias(right_day), *(F.col(best)["row"][v].alias(v) for v in values))
+
+
+@dataclass(frozen=True)
+class Alike:
+    """Rows are alike if they share all ``keys``, none of them null, and differ in ``differ`` (null being a value)."""
+
+    keys: tuple[str, ...]
+    differ: str | None = None
+
+
+def best_alike(rows: DataFrame, order: Column, rules: list[Alike], name: str) -> DataFrame:
+    """Add the least ``order`` among a row and all rows alike by one of the ``rules``.
+
+    ``order`` is a struct that tells rows apart. A rule is a least value for each of its keys. Where rows must
+    differ in a column, the two least values of different classes do: a row of the first one's class gets the second.
     """
-    pairs = left.join(right, keys, how)
-    order = F.struct(F.abs(F.datediff(right_day, left_day)).alias("days"), F.col(right_day), *values)
-    best = pairs.groupBy(*id_columns).agg(F.min(F.when(F.col(right_day).isNotNull(), order)).alias("best"))
-    return best.select(*id_columns, "best.days", *(F.col(f"best.{v}").alias(v) for v in [right_day, *values]))
+    own, *found = _tags(1 + len(rules))
+    first, second, rank, least = _tags(4)
+    out = rows.withColumn(own, order)
+    base = out
+    for rule, column in zip(rules, found, strict=True):
+        keys = list(rule.keys)
+        known = base.filter(" and ".join(f"`{k}` is not null" for k in keys))
+        if rule.differ is None:
+            out = out.join(known.groupBy(*keys).agg(F.min(own).alias(column)), keys, "left")
+            continue
+        classes = known.groupBy(*keys, F.col(rule.differ).alias(first)).agg(F.min(own).alias(least))
+        two = classes.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(least))).filter(F.col(rank) <= 2)
+        place = lambda n: F.min(F.when(F.col(rank) == n, F.struct(least, first)))  # noqa: E731,B023
+        pair = two.groupBy(*keys).agg(place(1).alias(first), place(2).alias(second))
+        pick = F.when(F.col(first)[first].eqNullSafe(F.col(rule.differ)), F.col(second)[least]).otherwise(F.col(first)[least])
+        out = out.join(pair, keys, "left").withColumn(column, pick).drop(first, second)
+    return out.withColumn(name, F.array_min(F.array_compact(F.array(own, *found)))).drop(own, *found).select(*rows.columns, name)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimforge.operators.matching import Alike, best_alike, rolling_count
 from claimforge.operators.matching import nearest_by_date as nearest
-from claimforge.operators.matching import rolling_count
 from claimforge.opsuite.registry import query
 from claimforge.opsuite.tables import money, read
 
@@ -126,13 +126,8 @@ def identity_match_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_mktsegment", F.expr("cast(floor(c_acctbal) as bigint) % 40").alias("bucket"), F.nullif(F.col("c_custkey") % 3, F.lit(0)).alias("dob"), (F.col("c_custkey") % 4).alias("phone")
     )
-    other = c.select(*(F.col(x).alias(f"s_{x}") for x in c.columns))
-    same = [F.col(x) == F.col(f"s_{x}") for x in ("c_nationkey", "c_mktsegment", "bucket")]
-    rule = (F.col("dob") == F.col("s_dob")) | ((F.col("phone") == F.col("s_phone")) & ~F.col("dob").eqNullSafe(F.col("s_dob")))
-    # the OR of "itself" and "alike" is a union of an equi-join and the rows themselves
-    others = c.join(other, same + [F.col("c_custkey") != F.col("s_c_custkey"), rule]).select("c_custkey", *other.columns)
-    pairs = others.unionByName(c.select("c_custkey", *(F.col(x).alias(f"s_{x}") for x in c.columns)))
-    valid = F.col("s_dob").isNotNull()
-    score = valid.cast("int") + (F.col("s_phone") > 0).cast("int")
-    w = Window.partitionBy("c_custkey").orderBy(valid.desc(), score.desc(), F.desc_nulls_last("s_phone"), "s_c_custkey")
-    return pairs.withColumn("rank", F.row_number().over(w)).filter("rank = 1").select("c_custkey", F.col("s_c_custkey").alias("survivor"))
+    score = F.col("dob").isNotNull().cast("int") + (F.col("phone") > 0).cast("int")
+    order = F.struct(F.col("dob").isNull(), -score, -F.col("phone"), F.col("c_custkey").alias("survivor"))
+    block = ("c_nationkey", "c_mktsegment", "bucket")
+    best = best_alike(c, order, [Alike((*block, "dob")), Alike((*block, "phone"), differ="dob")], "best")
+    return best.select("c_custkey", "best.survivor")

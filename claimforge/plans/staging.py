@@ -9,13 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimforge import functions as fn
+from claimforge.operators.matching import Alike, best_alike
+from claimforge.plans.quality import UNSERVED, quality_log, quarantine
 from claimforge.sources.raw import EXTRACTS, read_documents, read_extract
 
 c = F.col
 
 # Domains of the typed columns.
 SERVED = ("SK", "AB", "MB", "ON", "BC", "NS", "PE", "NL", "YT", "NT")
-UNSERVED = ("QC", "NB", "NU")
 PRODUCTS = ("health", "dental", "travel")
 COVERAGES = ("single", "couple", "family")
 POLICY_STATES = ("active", "lapsed", "cancelled", "expired")
@@ -29,10 +30,27 @@ BANDS = ("Under 35", "35-44", "45-54", "55-64", "65-74", "75+")
 PREMIUM_STATES = ("paid", "late", "missed")
 # Plan names by type and coverage amount.
 PLANS = {("health", 1500): "BasicPlan", ("health", 3000): "ExtendaPlan", ("health", 5000): "OmniPlan", ("health", 2000): "Replacement Health", ("dental", 1000): "Dental Basic", ("dental", 2000): "Dental Plus", ("travel", 5000000): "TravelStar", ("travel", 2000000): "StudentPlan"}
+# Postal codes with the letters that they may have.
+POSTAL = "^[ABCEGHJ-NPRSTVXY][0-9][ABCEGHJ-NPRSTV-Z] [0-9][ABCEGHJ-NPRSTV-Z][0-9]$"
 # The way each extract writes dates.
 DATES = {"Customer": "DMY", "Policy": "MDY", "Claim": "DMY", "Claim_Payment": "YYYYMMDD", "Policy_Premium": "MDY"}
 
 
+class Held:
+    """Tables that are used several times while a batch is loaded, and are let go together after it."""
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self.tables.append(df.persist())
+        return df
+
+    def release(self) -> None:
+        while self.tables:
+            self.tables.pop().unpersist()
+
+
 @dataclass
 class Staging:
     """The typed tables of one batch; every one has ``record_status`` accepted, rejected or duplicate."""
@@ -47,6 +65,7 @@ class Staging:
     identities: DataFrame
     events: DataFrame
     quarantine: DataFrame
+    hold: Held
 
 
 def money(x: Column) -> Column:
@@ -66,14 +85,14 @@ def typed(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     out = {}
     for name, df in raw.items():
         pick = []
-        for column in EXTRACTS[name].split():
+        for column in EXTRACTS[name]:
             x = c(column)
             made = (
                 fn.normalize_id(x) if column in ids else fn.normalize_category(x) if column in categories else fn.parse_date(x, DATES[name]) if column in dates
                 else money(x) if column.endswith("_amount") else special[column](x) if column in special else fn.clean_text(x)
             )
             pick.append(made.alias(column))
-        out[name] = df.select("raw_row_id", *pick, F.struct(*EXTRACTS[name].split()).alias("raw"))
+        out[name] = df.select("raw_row_id", *pick, F.struct(*EXTRACTS[name]).alias("raw"))
     out["Customer"] = out["Customer"].withColumn("fsa", F.left("postal_code", F.lit(3)))
     plan = reduce(lambda w, k: w.when((c("policy_type") == k[0]) & (c("coverage_amount") == k[1]), PLANS[k]), list(PLANS)[1:], F.when((c("policy_type") == "health") & (c("coverage_amount") == 1500), PLANS["health", 1500]))
     out["Policy"] = out["Policy"].withColumn("plan_name", F.coalesce("plan_name", plan))
@@ -83,6 +102,10 @@ def typed(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return out
 
 
+def accepted(df: DataFrame) -> DataFrame:
+    return df.filter("record_status = 'accepted'")
+
+
 def not_in(column: str, values: tuple[str, ...]) -> Column:
     """SQL's NOT IN: a null value is unknown, and an unknown rule rejects nothing."""
     return ~c(column).isin(*values)
@@ -92,7 +115,7 @@ def any_of(*rules: Column) -> Column:
     return F.coalesce(reduce(lambda a, b: a | b, (F.coalesce(r, F.lit(False)) for r in rules)), F.lit(False))
 
 
-def duplicates(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+def duplicates(df: DataFrame, key: str, columns: tuple[str, ...]) -> DataFrame:
     """Mark all but the first row of a key; exact ones repeat every raw value."""
     by_key, by_row = Window.partitionBy(key).orderBy("raw_row_id"), Window.partitionBy(*(c(f"raw.{x}") for x in columns)).orderBy("raw_row_id")
     later = c(key).isNotNull() & (F.row_number().over(by_key) > 1)
@@ -110,28 +133,31 @@ def status(bad: Column) -> Column:
 
 
 def identities(customers: DataFrame) -> DataFrame:
-    """(source_customer_id, customer_id): accepted customers and the best record of the same person.
+    """(source_customer_id, customer_id, source_row, same_birth): accepted customers and the best record of the same person.
 
     The same person has equal names and postal code, and an equal birth date or an equal address and
     contact with different birth dates of which just one is valid. Best is by validity of the birth date with unknown
-    first, number of known fields, last update and row order. The pairs come from an equi-join.
+    first, number of known fields, last update and row order. Validity follows from the birth date, so rows that
+    differ in it differ in the date; each rule is a least value for each of its keys, and no pairs are made.
     """
     valid = c("date_of_birth").between("1936-07-01", "2008-06-30")
     score = sum(c(x).isNotNull().cast("int") for x in ("date_of_birth", "province", "phone", "email"))
-    base = customers.filter("record_status = 'accepted'").select(
+    base = accepted(customers).select(
         "customer_id", "raw_row_id", F.lower("first_name").alias("first"), F.lower("last_name").alias("last"), F.replace("postal_code", F.lit(" "), F.lit("")).alias("post"),
         "date_of_birth", F.lower("address").alias("address"), F.lower("city").alias("city"), "email", "phone", "last_updated", valid.alias("valid"), score.alias("score"),
     )
-    r, s = base.alias("r"), base.alias("s")
-    contact = (c("r.address") == c("s.address")) & (c("r.city") == c("s.city")) & ((c("r.email") == c("s.email")) | (c("r.phone") == c("s.phone")))
-    differ = ~c("r.date_of_birth").eqNullSafe(c("s.date_of_birth")) & ~c("r.valid").eqNullSafe(c("s.valid"))
-    same = (c("r.first") == c("s.first")) & (c("r.last") == c("s.last")) & (c("r.post") == c("s.post"))
-    pairs = r.join(s, same & (c("r.raw_row_id") != c("s.raw_row_id")) & ((c("r.date_of_birth") == c("s.date_of_birth")) | (contact & differ)))
-    columns = [c("r.customer_id").alias("source_customer_id"), c("r.raw_row_id").alias("source_row"), *(c(f"s.{x}") for x in ("customer_id", "raw_row_id", "valid", "score", "last_updated"))]
-    own = base.select(c("customer_id").alias("source_customer_id"), c("raw_row_id").alias("source_row"), "customer_id", "raw_row_id", "valid", "score", "last_updated")
-    order = Window.partitionBy("source_customer_id").orderBy(F.desc_nulls_first("valid"), F.desc("score"), F.desc_nulls_last("last_updated"), "raw_row_id")
-    best = pairs.select(*columns).unionByName(own).withColumn("rank", F.row_number().over(order)).filter("rank = 1")
-    return best.select("source_customer_id", "customer_id", "source_row")
+    unknown_first = F.when(c("valid").isNull(), 0).when(c("valid"), 1).otherwise(2)
+    order = F.struct(
+        unknown_first.alias("validity"), (-c("score")).alias("score"), c("last_updated").isNull().alias("no_update"), (-F.unix_micros("last_updated")).alias("updated"),
+        c("raw_row_id").alias("row"), c("customer_id").alias("survivor"), c("date_of_birth").alias("born"),
+    )
+    person = ("first", "last", "post")
+    rules = [Alike((*person, "date_of_birth")), *(Alike((*person, "address", "city", contact), differ="valid") for contact in ("email", "phone"))]
+    best = best_alike(base, order, rules, "best").groupBy("customer_id").agg(F.min(F.struct("best", "raw_row_id", "date_of_birth")).alias("found"))
+    return best.select(
+        c("customer_id").alias("source_customer_id"), c("found.best.survivor").alias("customer_id"), c("found.raw_row_id").alias("source_row"),
+        c("found.date_of_birth").eqNullSafe(c("found.best.born")).alias("same_birth"),
+    )
 
 
 def documents(files: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -163,66 +189,21 @@ def documents(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return details, lines
 
 
-# The file and the raw table of each entity's source.
-SOURCES = {
-    "customer": ("Customer.csv", "raw.customer_csv"), "policy": ("Policy.csv", "raw.policy_csv"), "claim": ("Claim.csv", "raw.claim_csv"), "payment": ("Claim_Payment.csv", "raw.claim_payment_csv"),
-    "premium": ("Policy_Premium.csv", "raw.policy_premium_csv"), "claim_detail": (None, "raw.claim_detail_files"),
-}
-
-
-def event(df: DataFrame, entity: str, key: str, rule: str | Column, severity: str, action: str, field: str | None = None, original: str | None = None, clean: str | None = None, source: tuple | None = None, row: str = "raw_row_id", parent: str | None = None) -> DataFrame:
-    """Events of all rows of ``df`` with their source, row, and the value of ``field`` before and after.
-
-    Values come from the columns ``original`` and ``clean``, by default the raw and the typed one where
-    ``df`` has them. ``parent`` names a column of the details. A document's source is its file.
-    """
-    name, table = source or SOURCES[entity]
-    if field and "raw" in df.columns and field in df.schema["raw"].dataType.names:
-        original, clean = original or f"raw.{field}", clean or field
-    text = lambda x: (c(x) if x else F.lit(None)).cast("string")
-    file = F.concat("stem", F.lit(".json")) if name is None and "stem" in df.columns else F.concat(key, F.lit(".json"))
-    return df.select(
-        F.lit(entity).alias("entity"), (file if name is None else F.lit(name)).alias("source_name"), F.lit(table).alias("source_table"), (c(row) if row in df.columns else F.lit(None)).cast("long").alias("source_record_id"),
-        c(key).alias("business_key"), (F.lit(rule) if isinstance(rule, str) else rule).alias("rule_id"), F.lit(field).cast("string").alias("field_name"), F.lit(severity).alias("severity"), F.lit(action).alias("action"),
-        text(original).alias("original_value"), text(clean).alias("clean_value"), (F.to_json(F.struct(c(parent))) if parent else F.lit(None).cast("string")).alias("details"),
-    )
-
-
-def format_events(df: DataFrame, entity: str, key: str, fields: dict[str, str]) -> DataFrame:
-    """One event for each field whose raw text differs from its typed value; one array, taken apart once."""
-    name, table = SOURCES[entity]
-    rows = F.array_compact(F.array(*(
-        F.when(
-            ~c(f"raw.{f}").eqNullSafe(c(f).cast("string")) & c(f"raw.{f}").isNotNull(),
-            F.struct(F.lit(rule).alias("rule_id"), F.lit(f).alias("field_name"), c(f"raw.{f}").alias("original_value"), c(f).cast("string").alias("clean_value")),
-        ) for f, rule in fields.items()
-    )))
-    return df.select(c("raw_row_id").alias("source_record_id"), c(key).alias("business_key"), F.inline(rows)).select(
-        F.lit(entity).alias("entity"), F.lit(name).alias("source_name"), F.lit(table).alias("source_table"), "source_record_id", "business_key", "rule_id", "field_name",
-        F.lit("info").alias("severity"), F.lit("normalized").alias("action"), "original_value", "clean_value", F.lit(None).cast("string").alias("details"),
-    )
-
-
-def classify(own: str, dates: Column | None = None) -> Column:
-    """Why a row was rejected: an orphan, a rejected parent, the order of dates, or its own values."""
-    out = F.when(c("parent").isNull(), "ORPHAN_FK").when(c("parent") != "accepted", "UPSTREAM_PARENT_REJECTED")
-    return (out if dates is None else out.when(dates, "INV_DATE_ORDER")).otherwise(own)
-
-
-def stage(spark: SparkSession, folder: str, premiums: bool = True) -> Staging:
+def stage(spark: SparkSession, folder: str, premiums: bool = True, hold: Held | None = None) -> Staging:
     """Read and type a batch. Without the premium extract (``premiums=False``) that table is empty."""
+    hold = hold or Held()
     names = [n for n in EXTRACTS if premiums or n != "Policy_Premium"]
     raw = {n: read_extract(spark, folder, n) for n in names}
     if not premiums:
-        raw["Policy_Premium"] = spark.createDataFrame([], ", ".join(f"{x} string" for x in EXTRACTS["Policy_Premium"].split()) + ", raw_row_id long")
+        raw["Policy_Premium"] = spark.createDataFrame([], ", ".join(f"{x} string" for x in EXTRACTS["Policy_Premium"]) + ", raw_row_id long")
     t = typed(raw)
-    files = read_documents(spark, folder).persist()
+    files = hold(read_documents(spark, folder).withColumn("malformed", c("payload").isNull()))
 
     missing = reduce(lambda a, b: a | b, (c(x).isNull() for x in ("first_name", "last_name", "address", "city", "province", "postal_code", "customer_since", "last_updated")))
-    postal = ~c("postal_code").rlike("^[A-Z][0-9][A-Z] [0-9][A-Z][0-9]$")
+    postal = ~c("postal_code").rlike(POSTAL)
     bad = any_of(c("customer_id").isNull(), ~c("customer_id").rlike(r"^C\d{5}$"), missing, c("province").isin(*UNSERVED), postal)
-    customers = t["Customer"].withColumn("record_status", F.when(bad, "rejected").otherwise("accepted")).persist()
-    people = identities(customers).persist()
+    customers = hold(t["Customer"].withColumn("record_status", F.when(bad, "rejected").otherwise("accepted")))
+    people = hold(identities(customers))
 
     known = people.select(c("source_customer_id").alias("customer_id"), F.lit("accepted").alias("record_status"))
     every = customers.select("customer_id", "record_status").unionByName(known)
@@ -232,72 +213,27 @@ def stage(spark: SparkSession, folder: str, premiums: bool = True) -> Staging:
         c("start_date").isNull(), c("end_date") < c("start_date"), c("coverage_amount").isNull() | (c("coverage_amount") <= 0), c("deductible_amount").isNull() | (c("deductible_amount") < 0),
     )
     orphan = F.coalesce(c("parent") != "accepted", F.lit(True))
-    policies = policies.withColumn("record_status", status(own | orphan)).persist()
+    policies = hold(policies.withColumn("record_status", status(own | orphan)))
 
-    claims = with_parent(duplicates(t["Claim"], "claim_id", EXTRACTS["Claim"].split()), policies, "policy_id")
+    claims = with_parent(duplicates(t["Claim"], "claim_id", EXTRACTS["Claim"]), policies, "policy_id")
     own = any_of(c("claim_id").isNull(), ~c("claim_id").rlike(r"^[HDT]\d{5}$"), c("policy_id").isNull(), not_in("claim_type", CLAIM_TYPES), c("claim_date").isNull())
-    claims = claims.withColumn("record_status", status(own | orphan)).persist()
+    claims = hold(claims.withColumn("record_status", status(own | orphan)))
 
-    payments = with_parent(duplicates(t["Claim_Payment"], "payment_id", EXTRACTS["Claim_Payment"].split()), claims, "claim_id")
+    payments = with_parent(duplicates(t["Claim_Payment"], "payment_id", EXTRACTS["Claim_Payment"]), claims, "claim_id")
     own = any_of(c("payment_id").isNull(), ~c("payment_id").rlike(r"^PAY\d{5}$"), c("claim_id").isNull(), not_in("decision_outcome", OUTCOMES), c("payment_amount").isNull() | (c("payment_amount") < 0))
-    payments = payments.withColumn("record_status", status(own | orphan)).persist()
+    payments = hold(payments.withColumn("record_status", status(own | orphan)))
 
-    prem = with_parent(duplicates(t["Policy_Premium"], "premium_id", EXTRACTS["Policy_Premium"].split()), policies, "policy_id")
+    prem = with_parent(duplicates(t["Policy_Premium"], "premium_id", EXTRACTS["Policy_Premium"]), policies, "policy_id")
     own = any_of(
         c("premium_id").isNull(), ~c("premium_id").rlike(r"^PRM\d{6}$"), c("policy_id").isNull(), c("due_date").isNull(), c("premium_amount").isNull() | (c("premium_amount") <= 0), not_in("premium_frequency", FREQUENCIES),
         not_in("age_band", BANDS), not_in("payment_status", PREMIUM_STATES), c("payment_status").isin("paid", "late") & c("paid_date").isNull(), (c("payment_status") == "missed") & c("paid_date").isNotNull(),
     )
-    prem = prem.withColumn("record_status", status(own | orphan)).persist()
+    prem = hold(prem.withColumn("record_status", status(own | orphan)))
 
     details, lines = documents(files)
     details = with_parent(details.withColumn("duplicate", F.lit(False)), claims, "claim_id")
     own = any_of(c("claim_id").isNull(), ~c("claim_id").rlike(r"^[HDT]\d{5}$"), not_in("product_line", PRODUCTS), c("submitted_at").isNull(), c("provider_id").isNull(), c("provider_name").isNull())
-    details = details.withColumn("record_status", status(own | orphan)).persist()
-
-    formats = {
-        "customer": (customers, "customer_id", {"customer_id": "FMT_ID", "date_of_birth": "FMT_DATE", "customer_since": "FMT_DATE", "gender": "FMT_GENDER", "province": "FMT_PROVINCE", "postal_code": "FMT_POSTAL", "phone": "FMT_PHONE", "address": "FMT_TEXT_WHITESPACE"}),
-        "policy": (policies, "policy_id", {"policy_id": "FMT_ID", "policy_type": "FMT_CATEGORY_CASE", "coverage_type": "FMT_CATEGORY_CASE", "status": "FMT_CATEGORY_CASE", "start_date": "FMT_DATE", "end_date": "FMT_DATE", "coverage_amount": "TYPE_AMOUNT_TEXT"}),
-        "claim": (claims, "claim_id", {"claim_id": "FMT_ID", "claim_type": "FMT_CATEGORY_CASE", "service_date": "FMT_DATE", "claim_date": "FMT_DATE", "claim_amount": "TYPE_AMOUNT_TEXT", "region": "FMT_PROVINCE"}),
-        "payment": (payments, "payment_id", {"payment_id": "FMT_ID", "decision_outcome": "FMT_CATEGORY_CASE", "decision_date": "FMT_DATE", "payment_date": "FMT_DATE", "payment_amount": "TYPE_AMOUNT_TEXT"}),
-        "premium": (prem, "premium_id", {"premium_id": "FMT_ID", "due_date": "FMT_DATE", "paid_date": "FMT_DATE", "premium_amount": "TYPE_AMOUNT_TEXT", "payment_status": "INV_DERIVED_STATUS"}),
-    }
-    rejected = lambda df: df.filter("record_status = 'rejected'")
-    unserved = c("province").isin(*UNSERVED)
-    events = [format_events(df, name, key, rules) for name, (df, key, rules) in formats.items()]
-    events += [
-        event(customers.filter("raw.date_of_birth is null"), "customer", "customer_id", "MISS_ERROR", "error", "flagged", "date_of_birth"),
-        event(customers.filter("raw.date_of_birth is not null and date_of_birth is null"), "customer", "customer_id", "PARSE_DATE", "error", "flagged", "date_of_birth"),
-        event(customers.filter(~c("date_of_birth").between("1900-01-02", "2026-06-30")), "customer", "customer_id", "INV_AGE", "error", "flagged", "date_of_birth"),
-        event(customers.filter(unserved), "customer", "customer_id", "INV_UNSERVED_PROVINCE", "error", "quarantined", "province"),
-        event(people.filter("source_customer_id <> customer_id"), "customer", "source_customer_id", "DUP_ENTITY", "warning", "deduplicated", "customer_id", "source_customer_id", "customer_id", row="source_row"),
-        event(policies.filter("raw.plan_name is null and plan_name is not null"), "policy", "policy_id", "MISS_ERROR", "info", "repaired", "plan_name"),
-        *(event(df.filter("duplicate"), name, key, F.when(c("exact"), "DUP_EXACT").otherwise(near), "warning", "deduplicated") for df, name, key, near in ((claims, "claim", "claim_id", "DUP_NEAR_KEY"), (payments, "payment", "payment_id", "DUP_EXACT"), (prem, "premium", "premium_id", "DUP_EXACT"))),
-        event(rejected(policies), "policy", "policy_id", classify("INVALID_REQUIRED", c("end_date") < c("start_date")), "error", "quarantined", parent="customer_id"),
-        *(event(rejected(df), name, key, classify("INVALID_REQUIRED"), "error", "quarantined", parent=parent) for df, name, key, parent in ((claims, "claim", "claim_id", "policy_id"), (payments, "payment", "payment_id", "claim_id"), (prem, "premium", "premium_id", "policy_id"))),
-        event(rejected(details), "claim_detail", "claim_id", F.when(c("parent").isNull(), "JSON_ORPHAN").when(c("parent") != "accepted", "UPSTREAM_PARENT_REJECTED").otherwise("JSON_INVALID_REQUIRED"), "error", "quarantined", parent="claim_id"),
-        event(files.filter("payload is null").withColumn("start", F.left("raw_text", F.lit(500))), "claim_detail", "stem", "JSON_MALFORMED", "error", "quarantined", original="start"),
-        *(event(claims.filter((c("record_status") == "accepted") & c(f).isNull()), "claim", "claim_id", "MISS_ERROR", "error", "flagged", f) for f in ("service_date", "claim_amount")),
-        event(payments.filter("record_status = 'accepted' and decision_date is null"), "payment", "payment_id", "MISS_ERROR", "error", "flagged", "decision_date"),
-        event(payments.filter("record_status = 'accepted' and decision_date < processing_start_date"), "payment", "payment_id", "INV_DATE_ORDER", "error", "flagged", "decision_date"),
-        event(
-            claims.filter(c("claim_id").rlike(r"^[HDT]\d{5}$")).select("claim_id").distinct().join(files.select(F.upper("stem").alias("claim_id")), "claim_id", "left_anti"), "claim_detail", "claim_id", "JSON_MISSING_FILE", "warning", "flagged"
-        ),
-        *drift_events(files),
-    ]
-    log = reduce(DataFrame.unionByName, events).persist()
-    reason = F.when(c("rule_id") == "JSON_MALFORMED", "JSON could not be parsed").otherwise("Rejected during staging validation")
-    quarantine = log.filter("action = 'quarantined'").select("source_name", "source_table", "source_record_id", "business_key", "rule_id", reason.alias("reason"), "details").distinct()
-    return Staging(customers, policies, claims, payments, prem, details, lines, people.drop("source_row"), log, quarantine)
-
-
-def drift_events(files: DataFrame) -> list[DataFrame]:
-    """Documents whose keys, shapes or types differ from the schema."""
-    keys = F.json_object_keys("raw_text")
-    parsed = files.filter("payload is not null").withColumn("keys", keys)
-    has = lambda k: F.array_contains("keys", k)
-    kind = lambda path: F.schema_of_variant(F.try_variant_get("payload", f"$.{path}", "variant"))
-    out = [event(parsed.filter(has(k)), "claim_detail", "stem", "JSON_KEY_DRIFT", "warning", "normalized", k) for k in ("ClaimID", "lineItems")]
-    out += [event(parsed.filter(kind(p).startswith("OBJECT") if p == "line_items" else kind(p) == "STRING"), "claim_detail", "stem", "JSON_SHAPE_DRIFT", "warning", "normalized", p) for p in ("line_items", "documents_submitted")]
-    out += [event(parsed.filter(~has(k)), "claim_detail", "stem", "JSON_MISSING_KEY", "warning" if k == "adjuster_id" else "error", "flagged", k) for k in ("provider", "submitted_at", "adjuster_id", "documents_submitted")]
-    out += [event(parsed.filter(kind("travel.exchange_rate_to_cad") == "STRING"), "claim_detail", "stem", "JSON_TYPE_DRIFT", "warning", "normalized", "exchange_rate_to_cad")]
-    return out
+    details = hold(details.withColumn("record_status", status(own | orphan)))
+
+    log = hold(quality_log(customers, policies, claims, payments, prem, details, people, files))
+    return Staging(customers, policies, claims, payments, prem, details, lines, people.select("source_customer_id", "customer_id"), log, quarantine(log), hold)

@@ -8,12 +8,27 @@ from pyspark.sql import types as T
 
 # The headers of the five extracts, in order.
 EXTRACTS = {
-    "Customer": "customer_id first_name last_name date_of_birth gender address city province postal_code phone email customer_since last_updated",
-    "Policy": "policy_id customer_id policy_type plan_name coverage_type start_date end_date status sales_channel coverage_amount deductible_amount",
-    "Claim": "claim_id policy_id customer_id claim_type service_date claim_date claim_amount approved_amount claim_status region",
-    "Claim_Payment": "payment_id claim_id processing_start_date decision_date decision_outcome payment_date payment_amount payment_method payment_status transaction_reference denial_reason",
-    "Policy_Premium": "premium_id policy_id customer_id premium_amount premium_frequency age_band due_date paid_date payment_status payment_method",
-}
+    "Customer": (
+        "customer_id", "first_name", "last_name", "date_of_birth", "gender", "address", "city", "province", "postal_code", "phone", "email",
+        "customer_since", "last_updated",
+    ),
+    "Policy": (
+        "policy_id", "customer_id", "policy_type", "plan_name", "coverage_type", "start_date", "end_date", "status", "sales_channel",
+        "coverage_amount", "deductible_amount",
+    ),
+    "Claim": (
+        "claim_id", "policy_id", "customer_id", "claim_type", "service_date", "claim_date", "claim_amount", "approved_amount", "claim_status",
+        "region",
+    ),
+    "Claim_Payment": (
+        "payment_id", "claim_id", "processing_start_date", "decision_date", "decision_outcome", "payment_date", "payment_amount", "payment_method",
+        "payment_status", "transaction_reference", "denial_reason",
+    ),
+    "Policy_Premium": (
+        "premium_id", "policy_id", "customer_id", "premium_amount", "premium_frequency", "age_band", "due_date", "paid_date", "payment_status",
+        "payment_method",
+    ),
+}
 
 
 def read_extract(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,7 +37,7 @@ def read_extract(spark: SparkSession, folder: str, name: str) -> DataFrame:
     Empty values are null and white space stays. Quoted values may span lines, so a file is one
     split, and the order of its records is that in which they are read.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in EXTRACTS[name].split()])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in EXTRACTS[name]])
     rows = (
         spark.read.schema(schema)
         .options(header=True, enforceSchema=False, multiLine=True, nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, quote='"', escape='"', mode="FAILFAST")

@@ -49,7 +49,7 @@ def batch(tmp_path_factory):
     folder = tmp_path_factory.mktemp("batch")
     for name, rows in ROWS.items():
         with open(folder / f"{name}.csv", "w", newline="", encoding="utf-8-sig") as f:
-            csv.writer(f).writerows([EXTRACTS[name].split(), *rows])
+            csv.writer(f).writerows([EXTRACTS[name], *rows])
     (folder / "json").mkdir()
     for name, doc in DOCUMENTS.items():
         (folder / "json" / f"{name}.json").write_text(json.dumps(doc))

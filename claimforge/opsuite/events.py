@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimforge.operators.drift import Field, audit
 from claimforge.opsuite.registry import query
 from claimforge.opsuite.tables import read
 
@@ -52,6 +53,58 @@ def lateral_rule_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select("event_id", F.inline(rules))
 
 
+#: What the documents of ``json_drift_walk`` must look like.
+ORDER_DOCUMENT = [
+    Field("order_id", legacy=("OrderID",)),
+    Field("lines", "array", drifted=("object",), legacy=("orderLines",)),
+    Field("tags", "array", drifted=("string",), required="error"),
+    Field("customer.segment", required="error"),
+    Field("clerk", required="warning"),
+    Field("lines[*].quantity", "number", drifted=("string",)),
+    Field("customer.balance", "number", drifted=("string",)),
+]
+
+
+@query("""
+with l as (select l_orderkey as k, row_number() over (partition by l_orderkey order by l_linenumber, l_quantity) - 1 as place, count(*) over (partition by l_orderkey) as n, l_quantity::bigint as q from lineitem),
+o as (select o_orderkey as k, (floor(c_acctbal))::bigint as balance from orders join customer on o_custkey = c_custkey),
+e as (
+  select k, 'JSON_KEY_DRIFT' as rule_id, 'order_id' as field_name, 'warning' as severity, 'normalized' as action, 'OrderID' as original_value, 'order_id' as clean_value, '{"legacy_key":"OrderID"}' as details from o where k % 7 = 0
+  union all select k, 'JSON_KEY_DRIFT', 'lines', 'warning', 'normalized', 'orderLines', 'lines', '{"legacy_key":"orderLines"}' from o where k % 5 = 0 and k in (select k from l)
+  union all select distinct k, 'JSON_SHAPE_DRIFT', 'lines', 'warning', 'normalized', 'object', 'array', '{"source_shape":"object","target_shape":"array"}' from l where n = 1
+  union all select k, 'JSON_SHAPE_DRIFT', 'tags', 'warning', 'normalized', 'string', 'array', '{"source_shape":"string","target_shape":"array"}' from o where k % 3 = 1
+  union all select k, 'JSON_MISSING_KEY', 'tags', 'error', 'flagged', null, null, '{"key_absent":true}' from o where k % 3 = 2
+  union all select k, 'JSON_MISSING_KEY', 'customer.segment', 'error', 'flagged', null, null, '{"key_absent":true}' from o where k % 11 = 0
+  union all select k, 'JSON_MISSING_KEY', 'clerk', 'warning', 'flagged', null, null, '{"key_absent":true}' from o where k % 13 = 0
+  union all select k, 'JSON_TYPE_DRIFT', 'lines[' || place || '].quantity', 'warning', 'normalized', q::varchar, null, '{"source_type":"string","target_type":"number"}' from l where q % 10 = 0
+  union all select k, 'JSON_TYPE_DRIFT', 'customer.balance', 'warning', 'normalized', balance::varchar, null, '{"source_type":"string","target_type":"number"}' from o where k % 17 = 0)
+select k as o_orderkey, rule_id, field_name, severity, action, original_value, clean_value, details from e
+""")
+def json_drift_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drift of a document for each order: old names, other shapes and types, missing keys, with paths into arrays.
+
+    Documents are made of orders, customers and lines, with drift by rules of the keys, and parsed again.
+    """
+    text = lambda *parts: F.concat(*(x if not isinstance(x, str) else F.lit(x) for x in parts))
+    number = F.col("l_quantity").cast("long")
+    quoted = lambda when, x: F.when(when, text('"', x, '"')).otherwise(x)
+    line = text('{"quantity":', quoted(number % 10 == 0, number.cast("string")), ',"unit":null}')
+    held = F.sort_array(F.collect_list(F.struct("l_linenumber", "l_quantity", line.alias("line"))))  # the few lines of an order
+    lines = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.transform(held, lambda x: x.line).alias("lines"))
+    k, balance = F.col("o_orderkey"), F.floor("c_acctbal").cast("string")
+    parts = [
+        text(F.when(k % 7 == 0, '"OrderID":').otherwise('"order_id":'), k.cast("string")),
+        F.when(F.col("lines").isNotNull(), text(F.when(k % 5 == 0, '"orderLines":').otherwise('"lines":'), F.when(F.size("lines") == 1, F.col("lines")[0]).otherwise(text("[", F.array_join("lines", ","), "]")))),
+        F.when(k % 3 == 0, '"tags":["a","b"]').when(k % 3 == 1, '"tags":"a,b"'),
+        text('"customer":{"balance":', quoted(k % 17 == 0, balance), F.when(k % 11 == 0, "").otherwise(',"segment":null'), "}"),
+        F.when(k % 13 != 0, '"clerk":"C1"'),
+    ]
+    customer = read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").join(customer, F.col("o_custkey") == F.col("c_custkey")).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    made = text("{", F.concat_ws(",", *parts), "}")
+    return audit(orders.select("o_orderkey", F.try_parse_json(made).alias("payload")), "payload", ORDER_DOCUMENT)
+
+
 CASCADE = """
 with c as (select c_custkey, case when c_acctbal < 0 then 'rejected' else 'accepted' end as status from customer where c_custkey % 17 <> 0),
 o as (select o_orderkey, o_custkey, case when c.c_custkey is null then 'ORPHAN_FK' when c.status = 'rejected' then 'UPSTREAM_PARENT_REJECTED' when o_totalprice < 5000 then 'INVALID_REQUIRED' end as reason

@@ -25,8 +25,8 @@ class Core:
     premiums: DataFrame
     details: DataFrame
     line_items: DataFrame
-    events: DataFrame
-    identities: DataFrame
+    events: DataFrame | None = None
+    identities: DataFrame | None = None
 
 
 def valid_birth(x: str = "date_of_birth"):
@@ -171,8 +171,9 @@ def build(s: Staging, known: DataFrame | None = None) -> Core:
         )
     )
     kept = hold(accepted(s.details).drop("adjuster_notes", "parent", "duplicate", "record_status"))
-    consistent = c("quantity").isNull() | c("unit_amount").isNull() | (F.abs(c("amount") - c("quantity") * c("unit_amount")) <= F.lit("0.01").cast("decimal(4,2)"))
-    lines = hold(s.line_items.join(kept.select("stem"), "stem", "left_semi").filter(c("line_no").isNotNull() & c("amount").isNotNull() & (c("amount") >= 0) & consistent))
+    whole = (c("line_no") > 0) & c("service_date").isNotNull() & c("description").isNotNull() & (c("quantity") > 0) & (c("unit_amount") > 0) & (c("amount") > 0)
+    adds_up = F.abs(c("amount") - c("quantity") * c("unit_amount")) <= F.lit("0.01").cast("decimal(4,2)")
+    lines = hold(s.line_items.join(kept.select("stem"), "stem", "left_semi").filter(whole & adds_up))
     named = lambda df, column, to: df.join(alias, c(column) == c("alias_id"), "left").withColumn(to, F.coalesce("survivor_id", column)).drop("alias_id", "survivor_id")
     truth = reconciled.select("claim_id", c("decision_outcome").alias("outcome"))
     seen = named(claims, "claim_customer_id", "owner").join(customers.select("customer_id", "province"), "customer_id", "left").join(truth, "claim_id", "left").withColumn("truth", F.coalesce("outcome", F.lit("pending")))

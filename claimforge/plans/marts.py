@@ -23,6 +23,14 @@ DOCUMENTS = {
 DECIDED = ("approved", "partially_approved")
 
 
+#: A column of marts: the names of the amounts and rates that are 0 because there are no rows behind them.
+FILLED = "filled"
+
+
+def filled(*columns: str) -> Column:
+    return F.array_compact(F.array(*(F.when(c(x).isNull(), F.lit(x)) for x in columns))).alias(FILLED)
+
+
 def day(x: str) -> Column:
     return F.lit(x).cast("date")
 
@@ -117,12 +125,11 @@ def fraud(core: Core) -> DataFrame:
     base = rolling_count(base, ["customer_id"], "claim_date", 30, "claims_including_current_prior_30d").withColumns(flags)
     patterns = sum(F.coalesce(c(f).cast("int"), F.lit(0)) for f in flags)
     flagged = base.withColumn("suspicious_pattern_count_excluding_provider", patterns)
-    by_provider = Window.partitionBy("provider_id")
-    known = c("provider_id").isNotNull()
-    everything = flagged.agg(F.count("provider_id").alias("with_provider"))  # one row
-    count = F.when(known, F.count("*").over(by_provider))
-    bad = F.when(known, F.count_if(c("suspicious_pattern_count_excluding_provider") > 0).over(by_provider))
-    out = flagged.withColumn("provider_claim_count", count).withColumn("provider_suspicious_claim_count", bad).crossJoin(F.broadcast(everything))
+    suspicious = c("suspicious_pattern_count_excluding_provider") > 0
+    with_provider = flagged.filter(c("provider_id").isNotNull())
+    providers = with_provider.groupBy("provider_id").agg(F.count("*").alias("provider_claim_count"), F.count_if(suspicious).alias("provider_suspicious_claim_count"))
+    everything = with_provider.agg(F.count("*").alias("with_provider"))  # one row
+    out = flagged.join(providers, "provider_id", "left").crossJoin(F.broadcast(everything))
     return out.select(
         "claim_id", "policy_id", "customer_id", F.coalesce(fn.age_band(fn.age_years(c("date_of_birth"), c("claim_date"))), F.lit("Unknown")).alias("age_band_at_claim"), "province", "fsa", "product_line", "plan_name", "coverage_type", "claim_type",
         start.alias("policy_start_date"), "service_date", "claim_date", F.datediff(service, start).alias("days_from_policy_start"), "claim_amount", c("payment_amount").alias("authoritative_approved_amount"),
@@ -172,13 +179,13 @@ def retention(core: Core) -> DataFrame:
         "customer_id", F.coalesce(fn.age_band(fn.age_years(c("date_of_birth"), snapshot)), F.lit("Unknown")).alias("age_band_at_snapshot"), "gender", "province", "fsa", tenure.alias("tenure_days_at_snapshot"),
         F.round(tenure.cast("decimal(12,4)") / F.lit("30.4375").cast("decimal(6,4)"), 1).alias("tenure_months_at_snapshot"), *cohort.columns[1:4], *(F.coalesce(x, F.lit(0)).alias(x) for x in zero), "last_claim_date_12m",
         F.datediff(snapshot, "last_claim_date_12m").alias("days_since_last_claim_at_snapshot"), (c("all_left") & c("again").isNull()).cast("int").alias("churned"),
-        day(OBSERVED).alias("observation_start"), snapshot.alias("snapshot_date"), day(OUTCOME).alias("outcome_start"), day(EXTRACT_END).alias("outcome_end_date"),
+        day(OBSERVED).alias("observation_start"), snapshot.alias("snapshot_date"), day(OUTCOME).alias("outcome_start"), day(EXTRACT_END).alias("outcome_end_date"), filled(*zero),
     )
 
 
 def policy_performance(core: Core) -> DataFrame:
     """Exposure months, premiums and claims by product, plan, coverage, province and age band."""
-    keys = ["policy_type", "plan_name", "coverage_type", "province", "age_band"]
+    keys = ["policy_type", "plan_name", "age_band", "coverage_type", "province"]
     held = core.policies.join(core.customers.select("customer_id", "province", "date_of_birth"), "customer_id").withColumn("plan_name", F.coalesce("plan_name", F.lit("Unknown"))).drop("status")
     instalments = core.premiums.select("policy_id", "due_date", "age_band", "premium_id")
     first = F.trunc(F.greatest("start_date", day(HISTORY)), "month")
@@ -201,10 +208,11 @@ def policy_performance(core: Core) -> DataFrame:
         F.count("*").cast("int").alias("claim_count"), F.count("decided").cast("int").alias("decided_claim_count"), F.count_if(c("decision_outcome").isin(*DECIDED)).cast("int").alias("approved_claim_count"), total(c("payment_amount")).alias("approved_claim_amount")
     )
     spine = exposure.select(*keys).union(premium.select(*keys)).union(claims.select(*keys)).distinct()
-    amounts = ["premium_due_total", "approved_claim_amount"]
-    counts = ["policy_months", "policy_count", "premium_installment_count", "claim_count", "decided_claim_count", "approved_claim_count"]
-    out = spine.join(exposure, keys, "left").join(premium, keys, "left").join(claims, keys, "left").select(*keys, *(F.coalesce(x, F.lit(0)).alias(x) for x in counts + amounts))
-    return out.withColumn("claims_to_premium_performance_ratio", ratio(c("approved_claim_amount"), c("premium_due_total"))).withColumn("low_exposure_flag", c("policy_months") < 12)
+    measures = ["policy_count", "policy_months", "premium_installment_count", "premium_due_total", "claim_count", "decided_claim_count", "approved_claim_count", "approved_claim_amount"]
+    joined = spine.join(exposure, keys, "left").join(premium, keys, "left").join(claims, keys, "left")
+    out = joined.select(*keys, *(F.coalesce(x, F.lit(0)).alias(x) for x in measures), filled("premium_due_total", "approved_claim_amount"))
+    rated = out.withColumn("claims_to_premium_performance_ratio", ratio(c("approved_claim_amount"), c("premium_due_total"))).withColumn("low_exposure_flag", c("policy_months") < 12)
+    return rated.select(*keys, *measures, "claims_to_premium_performance_ratio", "low_exposure_flag", FILLED)
 
 
 MARTS = {"fraud_detection": fraud, "customer_retention": retention, "operational_efficiency": operations, "region_wise_insights": region_summary, "policy_optimization": policy_performance}

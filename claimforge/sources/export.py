@@ -1,80 +1,90 @@
-"""Single-file CSV exports in a total order, and layers that are written before they are shown."""
+"""Single-file CSV exports in a total order, made by tasks: sorted parts, joined by the file system."""
 
 from __future__ import annotations
 
-import csv
-import datetime
-import io
-import json
-from decimal import Decimal
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import UnsupportedOperationException
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def rendered(value) -> str:
-    """Booleans as True and False, nulls as nothing, decimals with their places, arrays as JSON."""
-    if value is None:
-        return ""
-    if isinstance(value, (list, tuple)):
-        return json.dumps(list(value))
-    return value.isoformat(sep=" ") if isinstance(value, datetime.datetime) else format(value, "f") if isinstance(value, Decimal) else str(value)
+def rendered(df: DataFrame, name: str, integers: str | None = None) -> Column:
+    """The text of a column: True and False, nothing for null, decimals with their places, times with their offset.
 
-
-def export_csv(df: DataFrame, path: str, order: list[str]) -> int:
-    """Write one CSV file sorted by ``order``, nulls last; rows pass through the driver one partition at a time."""
+    Where the array column ``integers`` names the column, its value is a zero that stands for "no rows", written ``0``.
+    """
+    x, kind = F.col(f"`{name}`"), df.schema[name].dataType.typeName()
+    if kind == "boolean":
+        text = F.initcap(x.cast("string"))
+    elif kind == "array":
+        text = F.to_json(x)
+    elif kind == "timestamp":
+        micros = F.pmod(F.unix_micros(x), F.lit(1_000_000))
+        text = F.concat(F.date_format(x, "yyyy-MM-dd HH:mm:ss"), F.when(micros != 0, F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))).otherwise(""), F.date_format(x, "xxx"))
+    else:
+        text = x.cast("string")
+    if integers:
+        text = F.when(F.array_contains(integers, name), "0").otherwise(text)
+    quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.coalesce(F.when(text.rlike('[",\r\n]'), quoted).otherwise(text), F.lit(""))
+
+
+def export_csv(df: DataFrame, path: str, order: list[str | Column], integers: str | None = None) -> int:
+    """Write one CSV file sorted by ``order``, nulls last; the number of rows.
+
+    Tasks sort ranges of the rows and write them as text; the file system then joins the parts in their order, without
+    reading them where it can (``concat``), else by copying streams. No row passes through Python. The file appears
+    under its name when it is whole.
+    """
     spark = df.sparkSession
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(fs_path, True)
-    n = 0
+    columns = [c for c in df.columns if c != integers]
+    line = F.concat_ws(",", *(rendered(df, c, integers) for c in columns))
+    seen = Observation()
+    ordered = df.orderBy(*(F.asc_nulls_last(x) if isinstance(x, str) else x for x in order))
+    rows = ordered.observe(seen, F.count(F.lit(1)).alias("rows")).select(line.alias("line"))  # counted after the sort, which reads its input twice
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(conf)
+    work = f"{path}-{uuid.uuid4().hex}"
     try:
-        buffer = io.StringIO()
-        writer = csv.writer(buffer, lineterminator="\n")
-        writer.writerow(df.columns)
-        for row in df.orderBy(*(F.asc_nulls_last(x) for x in order)).toLocalIterator():
-            writer.writerow(map(rendered, row))
-            n += 1
-            if buffer.tell() > 1 << 20:
-                out.write(bytearray(buffer.getvalue().encode()))
-                buffer.seek(0)
-                buffer.truncate()
-        out.write(bytearray(buffer.getvalue().encode()))
-    finally:
+        rows.write.option("lineSep", "\n").text(work)
+        parts = sorted(x.getPath().toString() for x in fs.listStatus(at(work)) if x.getPath().getName().startswith("part-"))
+        whole = at(f"{work}/whole")
+        out = fs.create(whole, True)
+        out.write(bytearray((",".join(columns) + "\n").encode()))
         out.close()
-    return n
-
-
-class Layers:
-    """Tables of a layer in numbered versions; readers see the newest that is complete.
-
-    A version is written whole and then marked by one empty file, so a crash at any point leaves the
-    version before it in place. Publishing removes all but the new version and the one before.
-    """
-
-    DONE = "_complete"
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        self.path = spark._jvm.org.apache.hadoop.fs.Path
-        self.fs = self.path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def versions(self, layer: str, complete: bool = True) -> list[int]:
-        folder = self.path(f"{self.root}/{layer}")
-        names = [x.getPath().getName() for x in self.fs.listStatus(folder)] if self.fs.exists(folder) else []
-        return sorted(int(n) for n in names if n.isdigit() and (not complete or self.fs.exists(self.path(f"{self.root}/{layer}/{n}/{self.DONE}"))))
-
-    def publish(self, layer: str, tables: dict[str, DataFrame]) -> None:
-        new = max(self.versions(layer, complete=False), default=0) + 1
-        for name, df in tables.items():
-            variants = [f.name for f in df.schema if f.dataType.typeName() == "variant"]
-            df.drop(*variants).write.parquet(f"{self.root}/{layer}/{new}/{name}")
-        self.fs.create(self.path(f"{self.root}/{layer}/{new}/{self.DONE}"), True).close()
-        kept = self.versions(layer)[-2:]
-        for old in set(self.versions(layer, complete=False)) - set(kept):
-            self.fs.delete(self.path(f"{self.root}/{layer}/{old}"), True)
+        join(spark, fs, whole, [at(p) for p in parts])
+        fs.delete(at(path), False)
+        if not fs.rename(whole, at(path)):
+            raise OSError(f"{path} could not be written")
+    finally:
+        fs.delete(at(work), True)
+    return seen.get["rows"]
 
-    def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{layer}/{self.versions(layer)[-1]}/{name}")
 
-    def has(self, layer: str) -> bool:
-        return bool(self.versions(layer))
+def join(spark, fs, whole, parts: list) -> None:
+    """Append ``parts`` to the file ``whole``."""
+    if not parts:
+        return
+    try:
+        array = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(parts))
+        for i, p in enumerate(parts):
+            array[i] = p
+        fs.concat(whole, array)
+        return
+    except UnsupportedOperationException:
+        pass  # a file system without concat
+    merged = spark._jvm.org.apache.hadoop.fs.Path(f"{whole.toString()}-joined")
+    out = fs.create(merged, True)
+    try:
+        for p in [whole, *parts]:
+            stream = fs.open(p)
+            try:
+                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 16, False)
+            finally:
+                stream.close()
+    finally:
+        out.close()
+    fs.delete(whole, False)
+    fs.rename(merged, whole)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -30,6 +31,16 @@ def rendered(df: DataFrame, name: str, integers: str | None = None) -> Column:
     return F.coalesce(F.when(text.rlike('[",\r\n]'), quoted).otherwise(text), F.lit(""))
 
 
+def observed(seen: Observation, written: DataFrame) -> dict[str, int]:
+    """What was counted while ``written`` was written; nothing if Spark knew that it has no rows and left the counting out."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        if written.isEmpty():
+            return {}
+        raise
+
+
 def export_csv(df: DataFrame, path: str, order: list[str | Column], integers: str | None = None) -> int:
     """Write one CSV file sorted by ``order``, nulls last; the number of rows.
 
@@ -54,13 +65,14 @@ def export_csv(df: DataFrame, path: str, order: list[str | Column], integers: st
         out = fs.create(whole, True)
         out.write(bytearray((",".join(columns) + "\n").encode()))
         out.close()
+        count = observed(seen, spark.read.text(work)).get("rows", 0)
         join(spark, fs, whole, [at(p) for p in parts])
         fs.delete(at(path), False)
         if not fs.rename(whole, at(path)):
             raise OSError(f"{path} could not be written")
     finally:
         fs.delete(at(work), True)
-    return seen.get["rows"]
+    return count
 
 
 def join(spark, fs, whole, parts: list) -> None:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from claimforge.operators.upsert import replace_children, upsert
+from claimforge.sources.export import observed
 
 PART = "part"
 #: Parts of a table that is dealt by a key; at a terabyte a table, thousands are right.
@@ -228,7 +229,7 @@ class Layers:
             self.fs.delete(self.path(path), True)
             raise
         if checks:
-            metrics = {check: n for check, n in seen.get.items() if n}
+            metrics = {check: n for check, n in observed(seen, self.spark.read.schema(schema).parquet(path)).items() if n}
         return Written(split, schema, parts, touched, folder, metrics)
 
     @staticmethod

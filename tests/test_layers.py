@@ -82,6 +82,9 @@ def test_broken_constraints_publish_nothing(spark, tmp_path):
     assert files(tmp_path) == before and layers.versions("core") == [1]
     layers.publish("core", lambda _: {"p": upserted(table(spark, [(9, "n")]), "k"), "c": upserted(table(spark, [(9, "x")]), "k")}, limits)
     assert layers.versions("core") == [1, 2]
+    nothing = spark.createDataFrame([], "k long, v string")  # known to be empty before it is written
+    layers.publish("core", lambda _: {"p": upserted(nothing, "k"), "q": upserted(nothing, "k")}, Constraints({"p": {"k is known": "k is not null"}, "q": {"k is known": "k is not null"}}))
+    assert layers.read("core", "q").columns == ["k", "v"] and layers.read("core", "p").count() == 5
 
 
 def test_checks_cost_a_write_and_two_jobs(spark, tmp_path):

@@ -9,7 +9,7 @@ from claimforge.plans import core, marts, staging
 from claimforge.plans.constraints import CONSTRAINTS
 from claimforge.sources.export import export_csv
 from claimforge.sources.layers import BUCKETS, Change, Layers, Snapshot, children, rebuilt, replaced, upserted
-from claimforge.sources.raw import EXTRACTS, discover, fingerprint
+from claimforge.sources.raw import EXTRACTS, batch_fingerprint, discover
 
 KEYS = {
     "customers": "customer_id", "policies": "policy_id", "claims": "claim_id", "payments": "payment_id", "premiums": "premium_id", "details": "claim_id", "identities": "source_customer_id",
@@ -92,8 +92,9 @@ def run(spark: SparkSession, folder: str, root: str, premiums: bool = True, buck
     that the batch has rows for are written.
     """
     layers = Layers(spark, root)
-    discover(spark, folder, [n for n in EXTRACTS if premiums or n != "Policy_Premium"])
-    load_id, done = register(layers, fingerprint(spark, folder))
+    names = [n for n in EXTRACTS if premiums or n != "Policy_Premium"]
+    discover(spark, folder, names)
+    load_id, done = register(layers, batch_fingerprint(spark, folder, names))
     if not done:
         hold = staging.Held()
         try:

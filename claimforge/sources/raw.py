@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from claimforge.sources.digest import file_hashes, fingerprint
+from claimforge.sources.records import read_records
 
 # The headers of the five extracts, in order.
 EXTRACTS = {
@@ -32,26 +34,13 @@ EXTRACTS = {
 
 
 def read_extract(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """An extract with ``raw_row_id``, the order of its records; a header that differs is an error.
-
-    Empty values are null and white space stays. Quoted values may span lines, so a file is one
-    split, and the order of its records is that in which they are read.
-    """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in EXTRACTS[name]])
-    rows = (
-        spark.read.schema(schema)
-        .options(header=True, enforceSchema=False, multiLine=True, nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, quote='"', escape='"', mode="FAILFAST")
-        .csv(f"{folder}/{name}.csv")
-    )
-    rows = rows.withColumn("raw_row_id", F.monotonically_increasing_id() + 2)
-    for c in schema.names:
-        rows = rows.withColumn(c, F.when(F.col(c) != "", F.col(c)))
-    return rows
+    """An extract with ``raw_row_id``, the number of each record (the header is 1); a header that differs is an error."""
+    return read_records(spark, f"{folder}/{name}.csv", EXTRACTS[name], "raw_row_id")
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """One row per JSON file: ``stem``, ``raw_text``, ``payload`` (null if malformed) and ``byte_size``."""
-    files = spark.read.text(f"{folder}/json", wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
+    files = spark.read.text(f"{folder}/json", wholetext=True, pathGlobFilter="*.json")
     return files.select(
         F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json$", 1).alias("stem"), F.col("value").alias("raw_text"),
         F.try_parse_json("value").alias("payload"), F.col("_metadata.file_size").alias("byte_size"),
@@ -63,21 +52,14 @@ def discover(spark: SparkSession, folder: str, names: list[str]) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     missing = [f"{n}.csv" for n in names if not fs.exists(path(f"{folder}/{n}.csv"))]
-    if not fs.exists(path(f"{folder}/json")) or spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.json").load(f"{folder}/json").select("path").isEmpty():
+    if not fs.exists(path(f"{folder}/json")) or spark.read.format("binaryFile").options(pathGlobFilter="*.json").load(f"{folder}/json").select("path").isEmpty():
         missing.append("json/*.json")
     if missing:
         raise FileNotFoundError(f"{folder} lacks {', '.join(missing)}")
 
 
-def fingerprint(spark: SparkSession, folder: str) -> str:
-    """sha256 over the sorted paths and content hashes of all files of a batch."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    inside = F.substring_index("path", f"{folder.rstrip('/')}/", -1)  # relative, so that a moved batch is the same
-    line = F.concat(inside, F.lit("\x00"), F.sha2("content", 256))
-    hashes = files.select(line.alias("line")).groupBy().agg(F.sha2(F.array_join(F.sort_array(F.collect_list("line")), "\n"), 256).alias("h"))
-    return hashes.first()["h"]
-
-
-def first_of(df: DataFrame, keys: list[str], order: str = "raw_row_id") -> DataFrame:
-    """Add ``key_rank``: 1 for the first row of each key."""
-    return df.withColumn("key_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
+def batch_fingerprint(spark: SparkSession, folder: str, names: list[str]) -> str:
+    """The fingerprint of the extracts and documents of a batch; other files in its folder do not count."""
+    paths = [f"{folder}/{n}.csv" for n in names]
+    hashes = file_hashes(spark, paths).unionByName(file_hashes(spark, [f"{folder}/json"], pathGlobFilter="*.json"))
+    return fingerprint(hashes, folder)

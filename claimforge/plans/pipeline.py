@@ -10,6 +10,7 @@ from claimforge.plans.constraints import CONSTRAINTS
 from claimforge.sources.export import export_csv
 from claimforge.sources.layers import BUCKETS, Change, Layers, Snapshot, children, rebuilt, replaced, upserted
 from claimforge.sources.raw import EXTRACTS, batch_fingerprint, discover
+from claimforge.sources.shared import Workspace
 
 KEYS = {
     "customers": "customer_id", "policies": "policy_id", "claims": "claim_id", "payments": "payment_id", "premiums": "premium_id", "details": "claim_id", "identities": "source_customer_id",
@@ -96,7 +97,7 @@ def run(spark: SparkSession, folder: str, root: str, premiums: bool = True, buck
     discover(spark, folder, names)
     load_id, done = register(layers, batch_fingerprint(spark, folder, names))
     if not done:
-        hold = staging.Held()
+        hold = Workspace(spark)
         try:
             staged = staging.stage(spark, folder, premiums, hold)
             layers.publish("core", lambda base: changes(base, staged, load_id, buckets), CONSTRAINTS)

@@ -12,6 +12,7 @@ from claimforge import functions as fn
 from claimforge.operators.matching import Alike, best_alike
 from claimforge.plans.quality import UNSERVED, quality_log, quarantine
 from claimforge.sources.raw import EXTRACTS, read_documents, read_extract
+from claimforge.sources.shared import Workspace
 
 c = F.col
 
@@ -36,21 +37,6 @@ POSTAL = "^[ABCEGHJ-NPRSTVXY][0-9][ABCEGHJ-NPRSTV-Z] [0-9][ABCEGHJ-NPRSTV-Z][0-9
 DATES = {"Customer": "DMY", "Policy": "MDY", "Claim": "DMY", "Claim_Payment": "YYYYMMDD", "Policy_Premium": "MDY"}
 
 
-class Held:
-    """Tables that are used several times while a batch is loaded, and are let go together after it."""
-
-    def __init__(self) -> None:
-        self.tables: list[DataFrame] = []
-
-    def __call__(self, df: DataFrame) -> DataFrame:
-        self.tables.append(df.persist())
-        return df
-
-    def release(self) -> None:
-        while self.tables:
-            self.tables.pop().unpersist()
-
-
 @dataclass
 class Staging:
     """The typed tables of one batch; every one has ``record_status`` accepted, rejected or duplicate."""
@@ -65,7 +51,7 @@ class Staging:
     identities: DataFrame
     events: DataFrame
     quarantine: DataFrame
-    hold: Held
+    hold: Workspace
 
 
 def money(x: Column) -> Column:
@@ -189,15 +175,15 @@ def documents(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return details, lines
 
 
-def stage(spark: SparkSession, folder: str, premiums: bool = True, hold: Held | None = None) -> Staging:
+def stage(spark: SparkSession, folder: str, premiums: bool = True, hold: Workspace | None = None) -> Staging:
     """Read and type a batch. Without the premium extract (``premiums=False``) that table is empty."""
-    hold = hold or Held()
+    hold = hold or Workspace(spark)
     names = [n for n in EXTRACTS if premiums or n != "Policy_Premium"]
     raw = {n: read_extract(spark, folder, n) for n in names}
     if not premiums:
         raw["Policy_Premium"] = spark.createDataFrame([], ", ".join(f"{x} string" for x in EXTRACTS["Policy_Premium"]) + ", raw_row_id long")
     t = typed(raw)
-    files = hold(read_documents(spark, folder).withColumn("malformed", c("payload").isNull()))
+    files = hold(read_documents(spark, folder).drop("payload")).withColumn("payload", F.try_parse_json("raw_text")).withColumn("malformed", c("payload").isNull())
 
     missing = reduce(lambda a, b: a | b, (c(x).isNull() for x in ("first_name", "last_name", "address", "city", "province", "postal_code", "customer_since", "last_updated")))
     postal = ~c("postal_code").rlike(POSTAL)
@@ -231,6 +217,7 @@ def stage(spark: SparkSession, folder: str, premiums: bool = True, hold: Held |
     prem = hold(prem.withColumn("record_status", status(own | orphan)))
 
     details, lines = documents(files)
+    lines = hold(lines)
     details = with_parent(details.withColumn("duplicate", F.lit(False)), claims, "claim_id")
     own = any_of(c("claim_id").isNull(), ~c("claim_id").rlike(r"^[HDT]\d{5}$"), not_in("product_line", PRODUCTS), c("submitted_at").isNull(), c("provider_id").isNull(), c("provider_name").isNull())
     details = hold(details.withColumn("record_status", status(own | orphan)))

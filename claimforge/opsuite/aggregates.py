@@ -90,6 +90,17 @@ def array_contains_all_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+select o_custkey, array_to_string(list(o_orderkey order by o_totalprice::decimal(12,2) desc, o_orderkey), ',') as by_price, list(o_orderpriority order by o_orderdate, o_orderkey)[1] as first_priority from orders group by 1
+""")
+def array_agg_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of a group as an array in the order of another column: what orders them goes into the array and out again."""
+    price = F.collect_list(F.struct((-money("o_totalprice")).alias("order"), F.col("o_orderkey").alias("value")))
+    day = F.min(F.struct("o_orderdate", "o_orderkey", "o_orderpriority"))
+    held = read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_sort(price).alias("held"), day.alias("first"))
+    return held.select("o_custkey", F.array_join(F.transform("held", lambda x: x.value.cast("string")), ",").alias("by_price"), F.col("first.o_orderpriority").alias("first_priority"))
+
+
 @query("""
 select 'orders' as layer, o_orderstatus as status, count(*) as n from orders group by 2 union all select 'lineitem', l_linestatus, count(*) from lineitem group by 2
 """)

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from claimforge.operators.constraints import orphans, repeated_keys, row_counts
 from claimforge.operators.upsert import replace_children, upsert
 from claimforge.sources.export import observed
 
@@ -215,7 +216,7 @@ class Layers:
         schema = out.schema
         if checks:
             seen = Observation()
-            out = out.observe(seen, *(F.count_if(~F.expr(holds)).alias(check) for check, holds in checks.items()))
+            out = out.observe(seen, *row_counts(checks))
         path = f"{self.root}/{folder}"
         try:
             if split == Split():
@@ -247,19 +248,12 @@ class Layers:
         keys = []
         for name, columns in ((n, k) for n, ks in limits.unique.items() if n in written for k in ks):
             # keys that deal a table to its parts cannot repeat across parts; others are looked for in all of it
-            rows = fresh(name) if set(written[name].split.keys) <= set(columns) else pending.read(name)
-            known = rows.filter(" and ".join(f"`{k}` is not null" for k in columns))
-            keys.append(known.select(F.lit(f"{name}: {', '.join(columns)} is unique").alias("what"), F.to_json(F.array(*(F.col(k).cast("string") for k in columns))).alias("key")))
-        if keys:
-            twice = reduce(DataFrame.unionByName, keys).groupBy("what", "key").count().filter("count > 1").groupBy("what").count()
-            out |= {r["what"]: r["count"] for r in twice.collect()}
-        orphans = []
-        for child, parent, key in limits.references:
-            if child in written:
-                alone = fresh(child).select(F.col(key).alias("key")).filter("key is not null").join(pending.read(parent).select(F.col(key).alias("key")), "key", "left_anti")
-                orphans.append(alone.select(F.lit(f"{child} have {parent}").alias("what")))
-        if orphans:
-            out |= {r["what"]: r["count"] for r in reduce(DataFrame.unionByName, orphans).groupBy("what").count().collect()}
+            keys.append((name, columns, fresh(name) if set(written[name].split.keys) <= set(columns) else pending.read(name)))
+        found = [repeated_keys(keys)] if keys else []
+        references = [(c, p, k, fresh(c), pending.read(p)) for c, p, k in limits.references if c in written]
+        found += [orphans(references)] if references else []
+        for df in found:
+            out |= {r["what"]: r["rows"] for r in df.collect()}
         return out
 
     def publish(self, layer: str, changes: Callable[[Snapshot], dict[str, Change]], limits: Constraints | None = None, attempts: int = 20) -> int:

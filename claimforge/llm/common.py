@@ -73,6 +73,16 @@ def tag(name: str) -> str:
     return f"{name}_{uuid.uuid4().hex}"
 
 
+def quoted(name: str) -> str:
+    """A column name as Spark reads it, whatever characters are in it."""
+    return f"`{name.replace('`', '``')}`"
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with columns ``c0``, ``c1``, ...: what Spark hands to Python by name must have plain names."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
 def release(spark: SparkSession) -> None:
     """Let the driver free what no plan refers to: Spark deletes shuffle files and broadcasts only after its collector ran."""
     spark.sparkContext._jvm.System.gc()

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimforge.llm.common import connected_components, discard, slices, store, tag
+from claimforge.llm.common import connected_components, discard, quoted, slices, store, tag
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 28, 4  # a pair at the threshold shares no band with probability 4e-7
@@ -262,11 +262,11 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", one
     keyed = docs.withColumns(dict(zip(keys, row_key(doc_id, text), strict=True)))
     marks = rows.groupBy(*(F.col(c).alias(k) for c, k in zip(("dh", "th"), keys, strict=True))).agg(F.count("*").alias(times), F.max(~same).alias(goes))
     if not one_row:
-        return keyed.join(marks.filter(goes), keys, "left_anti").select(*docs.columns)
+        return keyed.join(marks.filter(goes), keys, "left_anti").select(*map(quoted, docs.columns))
     marks = store(marks.filter((F.col(times) > 1) | F.col(goes)), "marks")
     single = keyed.join(marks, keys, "left_anti")
     repeated = keyed.join(marks.filter(~F.col(goes)), keys, "left_semi").dropDuplicates(keys)
-    return single.unionByName(repeated).select(*docs.columns)
+    return single.unionByName(repeated).select(*map(quoted, docs.columns))
 
 
 def op10_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

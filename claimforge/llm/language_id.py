@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from claimforge.llm.common import crc_mod, store
+from claimforge.llm.common import crc_mod, numbered, store
 
 ORDER = 4
 #: Documents per language that its model is fitted to, about; a hash of the id picks them.
@@ -261,11 +262,13 @@ def languages(docs: DataFrame, train: DataFrame, text: str = "text", per_languag
     """
     model = fit(train, per_language)
     base = docs.drop("lang_pred", "score", "bits", "rejected")
+    made = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("bits", DoubleType()), StructField("rejected", BooleanType())]
+    at, schema = base.columns.index(text), StructType([*(f for f in base.schema if f.name != text), *made])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for t in batch.column(batch.schema.get_field_index(text)).to_pylist():
+            for t in batch.column(at).to_pylist():
                 e = model.entropies(t) if model else None
                 if e is None:
                     out.append((UNDETERMINED, 0.0, None, False))
@@ -273,13 +276,12 @@ def languages(docs: DataFrame, train: DataFrame, text: str = "text", per_languag
                 best, margin = two_best(e)
                 score = 1 / (1 + math.exp(-min(50.0, model.slope * margin)))
                 out.append((model.languages[best], score, float(e[best]), bool(e[best] > model.ceiling[best])))
-            rest = [c for c in batch.schema.names if c != text]
+            rest = [c for i, c in enumerate(batch.columns) if i != at]
             kinds = [pa.string(), pa.float64(), pa.float64(), pa.bool_()]
-            made = [pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [()] * 4, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in rest), *made], names=[*rest, "lang_pred", "score", "bits", "rejected"])
+            found = [pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [()] * 4, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*rest, *found], names=schema.names)
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in base.schema if f.name != text)
-    return base.mapInArrow(run, f"{fields}lang_pred string, score double, bits double, rejected boolean")
+    return numbered(base).mapInArrow(run, schema)
 
 
 def op6_language_id(spark, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimforge.llm.common import connected_components, discard, slices, store, tag
+from claimforge.llm.common import connected_components, discard, quoted, slices, store, tag
 
 SIMILARITY = 0.8
 #: Signatures with more other bits than this are not compared by edits.
@@ -380,7 +380,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sim
     split = F.split(F.col(text), "\n")
     stay = F.filter(split, lambda _, i: ~F.array_contains(removed, i))
     cut = F.when(F.col(removed).isNull(), F.col(text)).otherwise(F.array_join(stay, "\n"))
-    kept = [cut.alias(text) if c == text else base[c] for c in base.columns]
+    kept = [cut.alias(text) if c == text else base[quoted(c)] for c in base.columns]
     return joined.select(*kept, F.coalesce(F.size(split), F.lit(0)).alias(names[0]), F.sort_array(F.coalesce(removed, F.array().cast("array<int>"))).alias(names[1]))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimforge.llm.common import store, tag
+from claimforge.llm.common import quoted, store, tag
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -102,7 +102,7 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     names = {c: tag(c) for c in ("source", "rate", "seed")}
     ready = recipe(sizes(docs, doc_id, text, source), **options).select(*(F.col(c).alias(k) for c, k in names.items()))
     n = copies(F.col(names["rate"]), draw_key(doc_id), F.col(names["seed"])).cast("int")
-    columns, copy = [docs[c] for c in docs.columns], tag("copy")
+    columns, copy = [docs[quoted(c)] for c in docs.columns], tag("copy")
     return docs.join(ready, docs[source].eqNullSafe(ready[names["source"]])).select(*columns, F.explode(F.array_repeat(F.lit(0), n)).alias(copy)).drop(copy)
 
 

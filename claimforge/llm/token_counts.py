@@ -20,8 +20,10 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
 from claimforge.llm import subword
+from claimforge.llm.common import numbered
 
 #: Entries that a worker keeps of counts by piece and of compatible token pairs.
 CACHE = 400_000
@@ -335,15 +337,16 @@ def token_counts(
     is bounded in bytes by Arrow.
     """
     path = vocabulary or subword.default_path()
-    made = ["n_bytes long", "n_tokens long", "over_limit boolean", "fits_chars long"] + ["prefix_tokens array<int>"] * prefixes
-    names = [m.split()[0] for m in made]
+    made = [StructField("n_bytes", LongType()), StructField("n_tokens", LongType()), StructField("over_limit", BooleanType()), StructField("fits_chars", LongType())]
+    made += [StructField("prefix_tokens", ArrayType(IntegerType()))] * prefixes
+    names = [f.name for f in made]
     kept = docs.drop(*names)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema] + made)
+    schema, at = StructType([*kept.schema, *made]), kept.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dp = counter(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            texts = [t or "" for t in batch.column(at).to_pylist()]
             totals, fits = dp.counts(texts, limit)
             columns = [
                 pa.array([len(t.encode()) for t in texts], pa.int64()),
@@ -351,9 +354,9 @@ def token_counts(
                 pa.array([n > limit for n in totals]),
                 pa.array(fits, pa.int64()),
             ] + ([pa.array([dp.prefixes(t) for t in texts], pa.list_(pa.int32()))] if prefixes else [])
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=schema.names)
 
-    return kept.mapInArrow(run, schema)
+    return numbered(kept).mapInArrow(run, schema)
 
 
 def op3_token_counts(spark, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from claimforge.llm.common import crc_mod, discard, release, slices, store
+from claimforge.llm.common import crc_mod, discard, quoted, release, slices, store
 
 #: Labelled rows that a model is fitted to at most, about; a hash of the id picks them.
 SAMPLE = 20_000
@@ -153,7 +153,7 @@ class Model:
 
     def score(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """(row, score): all columns of ``docs`` as one, whatever their names, and the score (0 to 1)."""
-        whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+        whole = docs.select(F.struct(*(docs[quoted(c)].alias(c) for c in docs.columns)).alias("row"))
         if self.trees is None:
             return whole.select("row", F.lit(self.share).alias("score"))
         rows = feature_rows(whole.withColumn("half", F.lit(0)), text, [self.words]).drop("half")

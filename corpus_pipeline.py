@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimforge.llm.common import discard, store, tag
+from claimforge.llm.common import discard, quoted, store, tag
 from claimforge.llm.jaccard_join import one_of_each
 from claimforge.llm.line_dedup import dedup_lines
 from claimforge.llm.mixing import mixed_documents
@@ -39,7 +39,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     cut = dedup_lines(docs, names=(n_lines, removed))
     emptied = (F.size(removed) > 0) & ~F.col("text").rlike(r"\S")
     left = cut.filter(~F.coalesce(emptied, F.lit(False)))
-    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*map(quoted, docs.columns))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Texts without words (null, empty, blank) all stay. Of rows alike in id and text one stays. Long texts
     are compared whole. An empty table stays empty. Further columns of any names stay.
     """
-    return one_of_each(docs, one_row=True).select(*docs.columns)
+    return one_of_each(docs, one_row=True).select(*map(quoted, docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     are repeated alike. A document of a source without words goes. An empty table stays empty. Further
     columns of any names stay.
     """
-    return mixed_documents(docs).select(*docs.columns)
+    return mixed_documents(docs).select(*map(quoted, docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from claimforge.llm.language_id import ORDER, languages
 
@@ -115,3 +116,10 @@ def test_equals_plain_kneser_ney(spark, monkeypatch):
     for text in [t for t, _ in rows[:9]] + ["zebra", "q", "(abc) x9y", "dcba ponm", "Ünïcode 漢 bed"]:
         got = model.bits(m.codes(text))
         assert np.allclose(got, [plain.bits(text, x) for x in model.languages], rtol=1e-9), text
+
+
+def test_columns_of_odd_names_and_types_stay(spark):
+    train = spark.createDataFrame([(i, "abc abd " * 9 if i % 2 else "xyz xyw " * 9, "aa" if i % 2 else "bb") for i in range(40)], "doc_id long, text string, lang string")
+    df = spark.createDataFrame([(1, "abc abd")], "doc_id long, text string").withColumn("odd `name", F.lit(1)).withColumn("a.b", F.lit(2)).withColumn("nested", F.struct(F.lit(1).alias("x y"), F.lit("z").alias("`")))
+    (row,) = languages(df, train).collect()
+    assert row["odd `name"] == 1 and row["nested"]["x y"] == 1 and row["lang_pred"] == "aa"

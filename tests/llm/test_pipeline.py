@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 
@@ -24,7 +25,8 @@ def sf_dir(spark, tmp_path):
 
 @pytest.mark.parametrize("name,stage", cp.STAGES[:-1])
 def test_stages_keep_columns_of_any_names(spark, sf_dir, name, stage):
-    docs = documents(spark, extra=CLASHES)
+    odd = F.struct(F.lit(1).alias("x y"), F.lit("z").alias("`"))
+    docs = documents(spark, extra=CLASHES).withColumn("odd `name", F.lit(1)).withColumn("a.b", F.lit(2)).withColumn("nested", odd)
     got = stage(spark, docs, sf_dir)
     assert got.columns == docs.columns
     by_id = {r.doc_id: r for r in docs.collect()}

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from claimforge.llm import subword
@@ -82,3 +83,11 @@ def test_truncation_of_long_texts(limit):
         if "<|" not in t:
             counts = plain([t[:i] for i in range(len(t) + 1)])
             assert dp.within(t, limit) == max(i for i, n in enumerate(counts) if n <= limit), repr(t)
+
+
+def test_columns_of_odd_names_and_types_stay(spark):
+    df = spark.createDataFrame([(1, "two words")], "doc_id long, text string").withColumn("odd `name", F.lit(1)).withColumn("a.b", F.lit(2)).withColumn("nested", F.struct(F.lit(1).alias("x y"), F.lit("z").alias("`")))
+    got = token_counts(df, prefixes=True)
+    assert got.columns[:5] == df.columns and got.schema["nested"].dataType == df.schema["nested"].dataType
+    (row,) = got.collect()
+    assert row["odd `name"] == 1 and row["nested"]["x y"] == 1 and row["n_tokens"] == 2

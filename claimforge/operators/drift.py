@@ -39,22 +39,24 @@ class Field:
         return self.path.rpartition(".")[2]
 
 
-def value_kind(v: Column) -> Column:
-    """The family of a variant's type; null for no value at all."""
-    name = F.schema_of_variant(v)
-    return (
-        F.when(v.isNull(), F.lit(None)).when(name.startswith("OBJECT"), "object").when(name.startswith("ARRAY"), "array")
-        .when(name == "STRING", "string").when(name == "BOOLEAN", "boolean").when(name == "VOID", "null").otherwise("number")
-    )
-
-
 def joined(parent: Column, key: Column | str) -> Column:
     key = F.lit(key) if isinstance(key, str) else key
     return F.when(parent == "", key).otherwise(F.concat(parent, F.lit("."), key))
 
 
 def node(path: Column, pattern: Column, value: Column, legacy: Column, shadowed: Column) -> Column:
-    return F.struct(path.alias("path"), pattern.alias("pattern"), value_kind(value).alias("kind"), value.alias("value"), legacy.alias("legacy"), shadowed.alias("shadowed"))
+    """A value with its place. Objects and arrays are opened here, once; the rest is a text with the family of its type."""
+    entries, elements = F.try_variant_get(value, "$", "map<string,variant>"), F.try_variant_get(value, "$", "array<variant>")
+    return F.struct(
+        path.alias("path"), pattern.alias("pattern"), value.alias("value"), entries.alias("entries"), elements.alias("elements"), legacy.alias("legacy"), shadowed.alias("shadowed"),
+    )
+
+
+def kind_of(n: Column) -> Column:
+    """The family of a node's type."""
+    name = F.schema_of_variant(n.value)
+    scalar = F.when(name == "STRING", "string").when(name == "BOOLEAN", "boolean").when(name == "VOID", "null").otherwise("number")
+    return F.when(n.entries.isNotNull(), "object").when(n.elements.isNotNull(), "array").otherwise(scalar)
 
 
 def lookup(pairs: dict[str, str], key: Column) -> Column:
@@ -79,22 +81,22 @@ def children(n: Column, schema: list[Field]) -> Column:
     lists = {f.path for f in schema if f.kind == "array" and "object" in f.drifted}
     renamed = {old if not f.parent else f"{f.parent}.{old}": f.key for f in schema for old in f.legacy}
     nothing = F.lit(None).cast("string")
-    entries = F.try_variant_get(n.value, "$", "map<string,variant>")
+    # keys that no field names are left out before anything is made of them
+    keys = {key for p in visited if p and not p.endswith("[*]") for key in [p.rpartition(".")[2]]} | {old.rpartition(".")[2] for old in renamed}
 
     def entry(e: Column) -> Column:
         given = joined(n.pattern, e.key)
         new = lookup(renamed, given)
         key = F.coalesce(new, e.key)
-        return node(joined(n.path, key), joined(n.pattern, key), e.value, F.when(new.isNotNull(), e.key), F.coalesce(F.map_contains_key(entries, new), F.lit(False)))
+        return node(joined(n.path, key), joined(n.pattern, key), e.value, F.when(new.isNotNull(), e.key), F.coalesce(F.map_contains_key(n.entries, new), F.lit(False)))
 
     def element(v: Column, i: Column) -> Column:
         return node(F.concat(n.path, F.lit("["), i.cast("string"), F.lit("]")), F.concat(n.pattern, F.lit("[*]")), v, nothing, F.lit(False))
 
-    values = F.filter(F.transform(F.map_entries(entries), entry), lambda x: x.pattern.isin(*visited))
-    elements = F.transform(F.try_variant_get(n.value, "$", "array<variant>"), element)
-    below = F.when(n.kind == "array", elements)
-    below = below.when((n.kind == "object") & n.pattern.isin(*lists), F.array(element(n.value, F.lit(0)))) if lists else below
-    below = below.when(n.kind == "object", values)
+    values = F.filter(F.transform(F.filter(F.map_entries(n.entries), lambda e: e.key.isin(*keys)), entry), lambda x: x.pattern.isin(*visited))
+    below = F.when(n.elements.isNotNull(), F.transform(n.elements, element))
+    below = below.when(n.entries.isNotNull() & n.pattern.isin(*lists), F.array(element(n.value, F.lit(0)))) if lists else below
+    below = below.when(n.entries.isNotNull(), values)
     return F.when(n.pattern.isin(*above) & ~n.shadowed, below)
 
 
@@ -115,16 +117,22 @@ def findings(nodes: Column, schema: list[Field]) -> Column:
         for kind in f.drifted:
             drifted["JSON_SHAPE_DRIFT" if f.kind in ("array", "object") else "JSON_TYPE_DRIFT"][f"{f.path} {kind}"] = f.kind
 
-    def of(n: Column) -> Column:
-        found = F.concat(n.pattern, F.lit(" "), n.kind)
-        shape, kind = lookup(drifted["JSON_SHAPE_DRIFT"], found), lookup(drifted["JSON_TYPE_DRIFT"], found)
+    watched = {f.path for f in schema if f.drifted}
+
+    def of(n: Column, kind: Column) -> Column:
+        found = F.concat(n.pattern, F.lit(" "), kind)
+        shape, scalar = lookup(drifted["JSON_SHAPE_DRIFT"], found), lookup(drifted["JSON_TYPE_DRIFT"], found)
         text = F.try_variant_get(n.value, "$", "string")
         return F.array(
             F.when(n.legacy.isNotNull(), finding("JSON_KEY_DRIFT", n.path, "warning", "normalized", n.legacy, F.element_at(F.split(n.path, r"\."), -1), pairs_json(legacy_key=n.legacy))),
-            F.when(shape.isNotNull() & ~n.shadowed, finding("JSON_SHAPE_DRIFT", n.path, "warning", "normalized", n.kind, shape, pairs_json(source_shape=n.kind, target_shape=shape))),
-            F.when(kind.isNotNull() & ~n.shadowed, finding("JSON_TYPE_DRIFT", n.path, "warning", "normalized", text, none, pairs_json(source_type=n.kind, target_type=kind))),
+            F.when(shape.isNotNull() & ~n.shadowed, finding("JSON_SHAPE_DRIFT", n.path, "warning", "normalized", kind, shape, pairs_json(source_shape=kind, target_shape=shape))),
+            F.when(scalar.isNotNull() & ~n.shadowed, finding("JSON_TYPE_DRIFT", n.path, "warning", "normalized", text, none, pairs_json(source_type=kind, target_type=scalar))),
         )
 
+    pairs = {p for own in drifted.values() for p in own}
+    odd = F.filter(nodes, lambda n: n.legacy.isNotNull() | (n.pattern.isin(*watched) & F.concat(n.pattern, F.lit(" "), kind_of(n)).isin(*pairs)))
+    drift = F.flatten(F.transform(odd, lambda n: of(n, kind_of(n))))
+
     def missing(f: Field) -> Column:
         held = F.filter(nodes, lambda n: (n.pattern == f.parent) & ~n.shadowed)
 
@@ -134,7 +142,7 @@ def findings(nodes: Column, schema: list[Field]) -> Column:
 
         return F.transform(held, absent)
 
-    parts = [F.flatten(F.transform(nodes, of)), *(missing(f) for f in schema if f.required)]
+    parts = [drift, *(missing(f) for f in schema if f.required)]
     return F.coalesce(F.array_compact(F.concat(*parts)), empty)
 
 

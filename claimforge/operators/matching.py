@@ -1,20 +1,20 @@
 """Matching without pairs: counts in a trailing range of days, the nearest row in time, the best row alike.
 
-Each of these is a self-join or a join with an inequality by its definition. Here rows are first added up to
-what matters of them (one row for a key and day, or for a key and class), so that the work is linear in the
-rows of a key and a hot key is never one task.
+Each of these is a self-join or a join with an inequality by its definition. Here it is a sort of the rows, or a
+least value for each key, so that the work is linear in the rows of a key.
 """
 
 from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Days of a bucket in which trailing counts are made.
-BUCKET = 1024
+#: Ranges of days in a bucket: with 8, an eighth of the rows is copied to the next bucket too.
+RANGES = 8
 
 
 def _tags(n: int) -> list[str]:
@@ -26,44 +26,41 @@ def _tags(n: int) -> list[str]:
 def rolling_count(df: DataFrame, keys: list[str], day: str, days: int, name: str) -> DataFrame:
     """Add the number of rows with the same keys in the ``days`` days that end with the row's own.
 
-    Rows become counts of a key and day. Days of a key are dealt into buckets, and each bucket also gets the last
-    days of the one before it, so that it counts on its own: a task holds the days of one bucket. Rows without a
-    key or day count none.
+    The rows of a key are dealt to buckets of days, and the last days of a bucket go to the next one as well, so that
+    each bucket counts on its own: one shuffle, and a key with many rows is many tasks. Rows without a key or day count none.
     """
-    at, n, bucket, total, *own = _tags(4 + len(keys))
-    width = max(days, BUCKET)
-    known = df.filter(" and ".join(f"`{x}` is not null" for x in [*keys, day]))
-    daily = known.groupBy(*(F.col(k).alias(o) for k, o in zip(keys, own, strict=True)), F.datediff(F.col(day), F.lit("1970-01-01")).alias(at)).agg(F.count("*").alias(n))
-    home = F.floor(F.col(at) / width)
-    dealt = daily.withColumn(bucket, F.explode(F.array_distinct(F.array(home, F.floor((F.col(at) + days - 1) / width)))))
-    trailing = Window.partitionBy(*own, bucket).orderBy(at).rangeBetween(1 - days, 0)
-    counted = dealt.withColumn(total, F.sum(n).over(trailing)).filter(F.col(bucket) == home).drop(bucket, n)
-    same = [F.col(k) == F.col(o) for k, o in zip(keys, own, strict=True)] + [F.datediff(F.col(day), F.lit("1970-01-01")) == F.col(at)]
-    return df.join(counted, same, "left").withColumn(name, F.coalesce(total, F.lit(0))).drop(total, at, *own)
+    at, bucket = _tags(2)
+    width = RANGES * days
+    home, last = F.floor(F.col(at) / width), F.floor((F.col(at) + days - 1) / width)
+    dealt = df.withColumn(at, F.datediff(F.col(day), F.lit("1970-01-01"))).withColumn(bucket, F.explode(F.when(home < last, F.array(home, last)).otherwise(F.array(home))))
+    trailing = Window.partitionBy(*keys, bucket).orderBy(at).rangeBetween(1 - days, 0)
+    counted = dealt.withColumn(name, F.count("*").over(trailing)).filter(F.col(bucket).eqNullSafe(home))
+    known = reduce(lambda a, b: a & b, (F.col(x).isNotNull() for x in [*keys, day]))
+    return counted.withColumn(name, F.when(known, F.col(name)).otherwise(0)).drop(at, bucket)
 
 
 def nearest_by_date(left: DataFrame, right: DataFrame, keys: list[str], left_day: str, right_day: str, values: list[str], id_columns: list[str], how: str = "inner") -> DataFrame:
     """For each left row the values of the right row nearest in time, and ``days`` between them.
 
-    Ties go to the earlier day and then to the least values. Both sides become one row for a key and day, in one
-    order; the last right day up to a left day and the first from it on are running values of that order, and the
+    Ties go to the earlier day and then to the least values. Both sides are put in one order of a key's days: the last
+    right row up to a left one and the first from it on are running values of that order, forwards and backwards, and the
     nearer one wins. Left rows without a match go with ``inner`` and have nulls with ``left``.
     """
-    at, best, before, after, near, *own = _tags(5 + len(keys))
+    at, row, ids, best, before, after, *own = _tags(6 + len(keys))
     as_own = [F.col(k).alias(o) for k, o in zip(keys, own, strict=True)]
-    found = right.filter(F.col(right_day).isNotNull()).groupBy(*as_own, F.col(right_day).cast("date").alias(at)).agg(F.min(F.struct(*values)).alias(best))
-    asked = left.filter(F.col(left_day).isNotNull()).select(*as_own, F.col(left_day).cast("date").alias(at)).distinct()
-    wanted = F.bool_or(F.col(before)).alias(before)
-    line = asked.withColumn(before, F.lit(True)).unionByName(found.withColumn(before, F.lit(False)), allowMissingColumns=True).groupBy(*own, at).agg(wanted, F.max(best).alias(best))
-    here = F.when(F.col(best).isNotNull(), F.struct(F.col(at).alias("day"), F.col(best).alias("row")))
-    up, down = Window.partitionBy(*own).orderBy(at), Window.partitionBy(*own).orderBy(F.desc(at))
-    running = lambda w: F.last(here, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    sides = line.withColumn(after, running(down)).withColumn(near, running(up)).filter(before)
-    distance = lambda x: F.when(F.col(x).isNotNull(), F.struct(F.abs(F.datediff(F.col(x)["day"], F.col(at))).alias("days"), F.col(x)["day"].alias("day"), F.col(x)["row"].alias("row")))
-    chosen = sides.select(*own, at, F.least(distance(near), distance(after)).alias(best))
-    same = [F.col(k) == F.col(o) for k, o in zip(keys, own, strict=True)] + [F.col(left_day).cast("date") == F.col(at)]
-    out = left.select(*dict.fromkeys([*id_columns, *keys, left_day])).join(chosen.filter(F.col(best).isNotNull()), same, how)
-    return out.select(*id_columns, F.col(best)["days"].alias("days"), F.col(best)["day"].alias(right_day), *(F.col(best)["row"][v].alias(v) for v in values))
+    nothing = lambda df, columns: F.lit(None).cast(df.select(F.struct(*columns)).schema[0].dataType)
+    asked = left.select(*as_own, F.col(left_day).cast("date").alias(at), F.struct(*id_columns).alias(ids), nothing(right, values).alias(row))
+    found = right.filter(F.col(right_day).isNotNull()).select(*as_own, F.col(right_day).cast("date").alias(at), nothing(left, id_columns).alias(ids), F.struct(*values).alias(row))
+    here = F.when(F.col(row).isNotNull(), F.struct(F.col(at).alias("day"), F.col(row).alias("row")))
+    # on a day right rows come before left ones, the least of them last
+    running = lambda first: F.last(here, ignorenulls=True).over(Window.partitionBy(*own).orderBy(first, F.col(ids).isNotNull(), F.desc(row)).rowsBetween(Window.unboundedPreceding, 0))
+    sides = asked.unionByName(found).withColumn(before, running(F.asc(at))).withColumn(after, running(F.desc(at))).filter(F.col(ids).isNotNull())
+    known = reduce(lambda a, b: a & b, (F.col(x).isNotNull() for x in [*own, at]))
+    distance = lambda x: F.when(known & F.col(x).isNotNull(), F.struct(F.abs(F.datediff(F.col(x)["day"], F.col(at))).alias("days"), F.col(x)["day"].alias("day"), F.col(x)["row"].alias("row")))
+    out = sides.select(ids, F.least(distance(before), distance(after)).alias(best))
+    if how == "inner":
+        out = out.filter(F.col(best).isNotNull())
+    return out.select(*(F.col(ids)[c].alias(c) for c in id_columns), F.col(best)["days"].alias("days"), F.col(best)["day"].alias(right_day), *(F.col(best)["row"][v].alias(v) for v in values))
 
 
 @dataclass(frozen=True)

@@ -45,18 +45,21 @@ def joined(parent: Column, key: Column | str) -> Column:
 
 
 def node(path: Column, pattern: Column, value: Column, legacy: Column, shadowed: Column) -> Column:
-    """A value with its place. Objects and arrays are opened here, once; the rest is a text with the family of its type."""
-    entries, elements = F.try_variant_get(value, "$", "map<string,variant>"), F.try_variant_get(value, "$", "array<variant>")
-    return F.struct(
-        path.alias("path"), pattern.alias("pattern"), value.alias("value"), entries.alias("entries"), elements.alias("elements"), legacy.alias("legacy"), shadowed.alias("shadowed"),
-    )
+    return F.struct(path.alias("path"), pattern.alias("pattern"), value.alias("value"), legacy.alias("legacy"), shadowed.alias("shadowed"))
 
 
-def kind_of(n: Column) -> Column:
-    """The family of a node's type."""
+def seen(n: Column, schema: list[Field]) -> Column:
+    """What the findings need of a node: its place, and the family and the text of a value whose kind may drift."""
     name = F.schema_of_variant(n.value)
-    scalar = F.when(name == "STRING", "string").when(name == "BOOLEAN", "boolean").when(name == "VOID", "null").otherwise("number")
-    return F.when(n.entries.isNotNull(), "object").when(n.elements.isNotNull(), "array").otherwise(scalar)
+    kind = (
+        F.when(name.startswith("OBJECT"), "object").when(name.startswith("ARRAY"), "array").when(name == "STRING", "string")
+        .when(name == "BOOLEAN", "boolean").when(name == "VOID", "null").otherwise("number")
+    )
+    containers, scalars = ({f.path for f in schema if f.drifted and (f.kind in ("array", "object")) is c} for c in (True, False))
+    text = F.when(n.pattern.isin(*scalars), F.try_variant_get(n.value, "$", "string")) if scalars else F.lit(None).cast("string")
+    watched = containers | scalars
+    kind = F.when(n.pattern.isin(*watched), kind) if watched else F.lit(None).cast("string")
+    return F.struct(n.path.alias("path"), n.pattern.alias("pattern"), kind.alias("kind"), text.alias("text"), n.legacy.alias("legacy"), n.shadowed.alias("shadowed"))
 
 
 def lookup(pairs: dict[str, str], key: Column) -> Column:
@@ -84,19 +87,24 @@ def children(n: Column, schema: list[Field]) -> Column:
     # keys that no field names are left out before anything is made of them
     keys = {key for p in visited if p and not p.endswith("[*]") for key in [p.rpartition(".")[2]]} | {old.rpartition(".")[2] for old in renamed}
 
-    def entry(e: Column) -> Column:
+    def entry(e: Column, entries: Column) -> Column:
         given = joined(n.pattern, e.key)
         new = lookup(renamed, given)
         key = F.coalesce(new, e.key)
-        return node(joined(n.path, key), joined(n.pattern, key), e.value, F.when(new.isNotNull(), e.key), F.coalesce(F.map_contains_key(n.entries, new), F.lit(False)))
+        return node(joined(n.path, key), joined(n.pattern, key), e.value, F.when(new.isNotNull(), e.key), F.coalesce(F.map_contains_key(entries, new), F.lit(False)))
 
     def element(v: Column, i: Column) -> Column:
         return node(F.concat(n.path, F.lit("["), i.cast("string"), F.lit("]")), F.concat(n.pattern, F.lit("[*]")), v, nothing, F.lit(False))
 
-    values = F.filter(F.transform(F.filter(F.map_entries(n.entries), lambda e: e.key.isin(*keys)), entry), lambda x: x.pattern.isin(*visited))
-    below = F.when(n.elements.isNotNull(), F.transform(n.elements, element))
-    below = below.when(n.entries.isNotNull() & n.pattern.isin(*lists), F.array(element(n.value, F.lit(0)))) if lists else below
-    below = below.when(n.entries.isNotNull(), values)
+    def opened(entries: Column) -> Column:
+        named = F.filter(F.map_entries(entries), lambda e: e.key.isin(*keys))
+        return F.filter(F.transform(named, lambda e: entry(e, entries)), lambda x: x.pattern.isin(*visited))
+
+    entries = F.try_variant_get(n.value, "$", "map<string,variant>")
+    values = F.element_at(F.transform(F.array(entries), opened), 1)  # one element, so that the object is opened once
+    if lists:
+        values = F.when(n.pattern.isin(*lists), F.when(entries.isNotNull(), F.array(element(n.value, F.lit(0))))).otherwise(values)
+    below = F.coalesce(F.transform(F.try_variant_get(n.value, "$", "array<variant>"), element), values)
     return F.when(n.pattern.isin(*above) & ~n.shadowed, below)
 
 
@@ -117,21 +125,18 @@ def findings(nodes: Column, schema: list[Field]) -> Column:
         for kind in f.drifted:
             drifted["JSON_SHAPE_DRIFT" if f.kind in ("array", "object") else "JSON_TYPE_DRIFT"][f"{f.path} {kind}"] = f.kind
 
-    watched = {f.path for f in schema if f.drifted}
-
-    def of(n: Column, kind: Column) -> Column:
-        found = F.concat(n.pattern, F.lit(" "), kind)
+    def of(n: Column) -> Column:
+        found = F.concat(n.pattern, F.lit(" "), n.kind)
         shape, scalar = lookup(drifted["JSON_SHAPE_DRIFT"], found), lookup(drifted["JSON_TYPE_DRIFT"], found)
-        text = F.try_variant_get(n.value, "$", "string")
         return F.array(
             F.when(n.legacy.isNotNull(), finding("JSON_KEY_DRIFT", n.path, "warning", "normalized", n.legacy, F.element_at(F.split(n.path, r"\."), -1), pairs_json(legacy_key=n.legacy))),
-            F.when(shape.isNotNull() & ~n.shadowed, finding("JSON_SHAPE_DRIFT", n.path, "warning", "normalized", kind, shape, pairs_json(source_shape=kind, target_shape=shape))),
-            F.when(scalar.isNotNull() & ~n.shadowed, finding("JSON_TYPE_DRIFT", n.path, "warning", "normalized", text, none, pairs_json(source_type=kind, target_type=scalar))),
+            F.when(shape.isNotNull() & ~n.shadowed, finding("JSON_SHAPE_DRIFT", n.path, "warning", "normalized", n.kind, shape, pairs_json(source_shape=n.kind, target_shape=shape))),
+            F.when(scalar.isNotNull() & ~n.shadowed, finding("JSON_TYPE_DRIFT", n.path, "warning", "normalized", n.text, none, pairs_json(source_type=n.kind, target_type=scalar))),
         )
 
     pairs = {p for own in drifted.values() for p in own}
-    odd = F.filter(nodes, lambda n: n.legacy.isNotNull() | (n.pattern.isin(*watched) & F.concat(n.pattern, F.lit(" "), kind_of(n)).isin(*pairs)))
-    drift = F.flatten(F.transform(odd, lambda n: of(n, kind_of(n))))
+    odd = F.filter(nodes, lambda n: n.legacy.isNotNull() | F.coalesce(F.concat(n.pattern, F.lit(" "), n.kind).isin(*pairs), F.lit(False)))
+    drift = F.flatten(F.transform(odd, of))
 
     def missing(f: Field) -> Column:
         held = F.filter(nodes, lambda n: (n.pattern == f.parent) & ~n.shadowed)
@@ -161,5 +166,6 @@ def audit(docs: DataFrame, payload: str, schema: list[Field]) -> DataFrame:
     for i in range(depth):  # a column for each level, so that none is computed twice
         below = F.flatten(F.filter(F.transform(f"{level}{i}", lambda n: children(n, schema)), lambda x: x.isNotNull()))
         rows = rows.withColumn(f"{level}{i + 1}", F.coalesce(below, F.array().cast(rows.schema[f"{level}0"].dataType)))
-    rows = rows.withColumn(level, reduce(F.concat, [F.col(f"{level}{i}") for i in range(depth + 1)]))
+    known = [F.transform(f"{level}{i}", lambda n: seen(n, schema)) for i in range(depth + 1)]
+    rows = rows.withColumn(level, reduce(F.concat, known))
     return rows.select(*(c for c in docs.columns if c != payload), F.inline(findings(F.col(level), schema)))

@@ -101,8 +101,10 @@ def json_drift_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     customer = read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").join(customer, F.col("o_custkey") == F.col("c_custkey")).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    made = text("{", F.concat_ws(",", *parts), "}")
-    return audit(orders.select("o_orderkey", F.try_parse_json(made).alias("payload")), "payload", ORDER_DOCUMENT)
+    made = orders.select("o_orderkey", text("{", F.concat_ws(",", *parts), "}").alias("text"))
+    # the walk costs far more than the bytes of a document tell, so adaptive execution must not put them on a few cores
+    dealt = made.repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
+    return audit(dealt.select("o_orderkey", F.try_parse_json("text").alias("payload")), "payload", ORDER_DOCUMENT)
 
 
 CASCADE = """

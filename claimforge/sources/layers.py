@@ -27,6 +27,8 @@ from claimforge.sources.export import observed
 PART = "part"
 #: Parts of a table that is dealt by a key; at a terabyte a table, thousands are right.
 BUCKETS = 16
+#: Versions whose files stay: readers of older ones must look again.
+KEPT = 2
 
 
 class InvalidTables(ValueError):
@@ -283,6 +285,12 @@ class Layers:
                     latest = self.snapshot(layer)
                     if any(self._touched(base, n, w) != self._touched(latest, n, w) for n, w in written.items()):
                         break
+            except InvalidTables:
+                raise
+            except Exception:
+                if max(self.versions(layer), default=0) - base.version < KEPT:
+                    raise
+                # others have committed meanwhile, and the files that this attempt was reading may be gone
             finally:
                 if not done:
                     for w in written.values():
@@ -294,7 +302,7 @@ class Layers:
         parts = at.tables.get(name, {"parts": {}})["parts"]
         return {k: v for k, v in parts.items() if w.touched is None or k in w.touched}
 
-    def _clean(self, layer: str, keep: int = 2) -> None:
+    def _clean(self, layer: str, keep: int = KEPT) -> None:
         """Delete the folders that the version before the kept ones names and they do not."""
         recent = self.versions(layer)[-keep - 1 :]
         if len(recent) <= keep:

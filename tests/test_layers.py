@@ -154,6 +154,23 @@ def test_writers_together_lose_no_row(spark, tmp_path, shared):
         assert sum(made) > 4
 
 
+def test_a_writer_whose_base_is_gone_starts_anew(spark, tmp_path):
+    root, tries = str(tmp_path), []
+    Layers(spark, root).publish("core", lambda _: {"t": upserted(table(spark, [(0, "first")]), "k", buckets=1)})
+
+    def slow(base):
+        tries.append(base.version)
+        if len(tries) == 1:  # three versions go by, and the files of the base are deleted
+            for i in range(3):
+                Layers(spark, root).publish("core", lambda _, i=i: {"t": upserted(table(spark, [(i, f"other {i}")]), "k")})
+        return {"t": upserted(table(spark, [(9, "slow")]), "k")}
+
+    assert Layers(spark, root).publish("core", slow) == 5 and tries == [1, 4]
+    assert rows(Layers(spark, root).read("core", "t")) == [(0, "other 0"), (1, "other 1"), (2, "other 2"), (9, "slow")]
+    with pytest.raises(ZeroDivisionError):
+        Layers(spark, root).publish("core", lambda _: 1 / 0)
+
+
 def test_export_equals_python(spark, tmp_path):
     moment = dt.datetime(2024, 2, 10, 18, 0, 0, 5)
     data = [(i, f't"{i}, x' if i % 3 else None, i % 2 == 0, decimal.Decimal(i) / 4, dt.date(2024, 1, 1 + i % 28), moment if i % 5 else None, "line\nbreak" if i == 7 else "é") for i in range(500)]

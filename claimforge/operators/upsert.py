@@ -16,6 +16,9 @@ def rebuild(old: DataFrame, new: DataFrame, part: str, value) -> DataFrame:
 
 
 def replace_children(old: DataFrame, new: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-    """Children of all touched parents go, also if there are no new ones for them."""
-    touched = parents.select(key).distinct()
+    """Children of all touched parents go, also if there are no new ones for them.
+
+    Tasks hold the keys of parents and stream the children: a sort of the children grew with the table.
+    """
+    touched = parents.select(key).distinct().hint("shuffle_hash")
     return old.join(touched, key, "left_anti").select(*new.columns).unionByName(new)

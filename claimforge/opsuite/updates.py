@@ -44,7 +44,7 @@ union all select l_orderkey, l_linenumber, l_quantity + 1 from lineitem where l_
 def replace_children_of_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     parents = read(spark, sf_dir, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
-    new = lines.filter("l_linenumber <= 3").join(parents, "l_orderkey", "left_semi").withColumn("l_quantity", F.col("l_quantity") + 1)
+    new = lines.filter("l_linenumber <= 3").join(parents.hint("shuffle_hash"), "l_orderkey", "left_semi").withColumn("l_quantity", F.col("l_quantity") + 1)
     return replace_children(lines, new, parents, "l_orderkey")
 
 

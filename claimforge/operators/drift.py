@@ -1,15 +1,17 @@
 """Drift of documents from their schema, found by one walk over each of them.
 
-A schema is a list of :class:`Field`. The walk turns a VARIANT into its nodes, level by level, with the
-positions of array elements, and goes only where some field lies. All findings of a document are one array
-of its row, taken apart once: a scan and a generator, no shuffle and no join.
+A schema is a list of :class:`Field`. The walk is written out from it before any document is read: a column
+for the value at each place outside arrays, by its name or an old one, and one function over the elements of
+each array on the way. All findings of a document are one array of its row, taken apart once: a scan and a
+generator, no shuffle and no join.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,116 +41,91 @@ class Field:
         return self.path.rpartition(".")[2]
 
 
-def joined(parent: Column, key: Column | str) -> Column:
-    key = F.lit(key) if isinstance(key, str) else key
-    return F.when(parent == "", key).otherwise(F.concat(parent, F.lit("."), key))
+FINDING = "rule_id string, field_name string, severity string, action string, original_value string, clean_value string, details string"
 
 
-def node(path: Column, pattern: Column, value: Column, legacy: Column, shadowed: Column) -> Column:
-    return F.struct(path.alias("path"), pattern.alias("pattern"), value.alias("value"), legacy.alias("legacy"), shadowed.alias("shadowed"))
+def finding(rule: str, field: Column, severity: str, action: str, original: Column | str | None, clean: str | None, **details: str | bool) -> Column:
+    given = {"rule_id": rule, "field_name": field, "severity": severity, "action": action, "original_value": original, "clean_value": clean}
+    parts = given | {"details": json.dumps(details, separators=(",", ":"), ensure_ascii=False)}
+    return F.struct(*((x if isinstance(x, Column) else F.lit(x)).cast("string").alias(name) for name, x in parts.items()))
 
 
-def seen(n: Column, schema: list[Field]) -> Column:
-    """What the findings need of a node: its place, and the family and the text of a value whose kind may drift."""
-    name = F.schema_of_variant(n.value)
-    kind = (
-        F.when(name.startswith("OBJECT"), "object").when(name.startswith("ARRAY"), "array").when(name == "STRING", "string")
-        .when(name == "BOOLEAN", "boolean").when(name == "VOID", "null").otherwise("number")
-    )
-    containers, scalars = ({f.path for f in schema if f.drifted and (f.kind in ("array", "object")) is c} for c in (True, False))
-    text = F.when(n.pattern.isin(*scalars), F.try_variant_get(n.value, "$", "string")) if scalars else F.lit(None).cast("string")
-    watched = containers | scalars
-    kind = F.when(n.pattern.isin(*watched), kind) if watched else F.lit(None).cast("string")
-    return F.struct(n.path.alias("path"), n.pattern.alias("pattern"), kind.alias("kind"), text.alias("text"), n.legacy.alias("legacy"), n.shadowed.alias("shadowed"))
+def child(value: Column, name: str) -> Column:
+    """The value of a key of an object; a key whose value is null gives a VARIANT that is null, an absent one gives no VARIANT."""
+    quote = '"' if "'" in name else "'"
+    return F.try_variant_get(value, f"$[{quote}{name}{quote}]", "variant")
 
 
-def lookup(pairs: dict[str, str], key: Column) -> Column:
-    if not pairs:
-        return F.lit(None).cast("string")
-    return F.try_element_at(F.create_map(*(F.lit(x) for pair in pairs.items() for x in pair)), key)
+def is_kind(name: Column, kind: str) -> Column:
+    """Whether a value, by the name of its type, is of a kind of :class:`Field`."""
+    exact = {"string": "STRING", "boolean": "BOOLEAN", "null": "VOID"}
+    if kind in exact:
+        return name == exact[kind]
+    if kind in ("object", "array"):
+        return name.startswith(kind.upper())
+    return ~(name.isin(*exact.values()) | name.startswith("OBJECT") | name.startswith("ARRAY"))
 
 
-def prefixes(schema: list[Field]) -> tuple[set[str], set[str]]:
-    """The patterns that lie above some field, the document itself (``""``) too, and all those to visit."""
-    above = {""}
+def prefixes(schema: list[Field]) -> set[str]:
+    """The patterns of fields and those above them, the document itself (``""``) too."""
+    found = {""}
     for f in schema:
-        steps = f.path.replace("[*]", ".[*]").split(".")
-        for n in range(1, len(steps)):
-            above.add(".".join(steps[:n]).replace(".[*]", "[*]"))
-    return above, above | {f.path for f in schema}
+        steps = f.path.replace("[*]", ".[*]").lstrip(".").split(".")
+        found |= {".".join(steps[:n]).replace(".[*]", "[*]") for n in range(1, len(steps) + 1)}
+    return found
 
 
-def children(n: Column, schema: list[Field]) -> Column:
-    """The nodes right below ``n``: values of an object, elements of an array, or the one object in the place of an array."""
-    above, visited = prefixes(schema)
-    lists = {f.path for f in schema if f.kind == "array" and "object" in f.drifted}
-    renamed = {old if not f.parent else f"{f.parent}.{old}": f.key for f in schema for old in f.legacy}
-    nothing = F.lit(None).cast("string")
-    # keys that no field names are left out before anything is made of them
-    keys = {key for p in visited if p and not p.endswith("[*]") for key in [p.rpartition(".")[2]]} | {old.rpartition(".")[2] for old in renamed}
-
-    def entry(e: Column, entries: Column) -> Column:
-        given = joined(n.pattern, e.key)
-        new = lookup(renamed, given)
-        key = F.coalesce(new, e.key)
-        return node(joined(n.path, key), joined(n.pattern, key), e.value, F.when(new.isNotNull(), e.key), F.coalesce(F.map_contains_key(entries, new), F.lit(False)))
-
-    def element(v: Column, i: Column) -> Column:
-        return node(F.concat(n.path, F.lit("["), i.cast("string"), F.lit("]")), F.concat(n.pattern, F.lit("[*]")), v, nothing, F.lit(False))
-
-    def opened(entries: Column) -> Column:
-        named = F.filter(F.map_entries(entries), lambda e: e.key.isin(*keys))
-        return F.filter(F.transform(named, lambda e: entry(e, entries)), lambda x: x.pattern.isin(*visited))
-
-    entries = F.try_variant_get(n.value, "$", "map<string,variant>")
-    values = F.element_at(F.transform(F.array(entries), opened), 1)  # one element, so that the object is opened once
-    if lists:
-        values = F.when(n.pattern.isin(*lists), F.when(entries.isNotNull(), F.array(element(n.value, F.lit(0))))).otherwise(values)
-    below = F.coalesce(F.transform(F.try_variant_get(n.value, "$", "array<variant>"), element), values)
-    return F.when(n.pattern.isin(*above) & ~n.shadowed, below)
-
-
-def finding(rule: str, field: Column, severity: str, action: str, original: Column, clean: Column, details: Column) -> Column:
-    parts = {"rule_id": F.lit(rule), "field_name": field, "severity": F.lit(severity), "action": F.lit(action), "original_value": original, "clean_value": clean, "details": details}
-    return F.struct(*(x.cast("string").alias(name) for name, x in parts.items()))
-
-
-def pairs_json(**values: Column | str | bool) -> Column:
-    return F.to_json(F.struct(*((x if isinstance(x, Column) else F.lit(x)).alias(k) for k, x in values.items())))
+#: Makes a column of an expression that stands some levels below the document, where that can be done.
+Keep = Callable[[Column, int], Column]
 
 
-def findings(nodes: Column, schema: list[Field]) -> Column:
-    """The findings of a document as an array, from the array of its nodes."""
-    none, empty = F.lit(None), F.array().cast("array<struct<rule_id:string,field_name:string,severity:string,action:string,original_value:string,clean_value:string,details:string>>")
-    drifted = {"JSON_SHAPE_DRIFT": {}, "JSON_TYPE_DRIFT": {}}
-    for f in schema:
-        for kind in f.drifted:
-            drifted["JSON_SHAPE_DRIFT" if f.kind in ("array", "object") else "JSON_TYPE_DRIFT"][f"{f.path} {kind}"] = f.kind
-
-    def of(n: Column) -> Column:
-        found = F.concat(n.pattern, F.lit(" "), n.kind)
-        shape, scalar = lookup(drifted["JSON_SHAPE_DRIFT"], found), lookup(drifted["JSON_TYPE_DRIFT"], found)
-        return F.array(
-            F.when(n.legacy.isNotNull(), finding("JSON_KEY_DRIFT", n.path, "warning", "normalized", n.legacy, F.element_at(F.split(n.path, r"\."), -1), pairs_json(legacy_key=n.legacy))),
-            F.when(shape.isNotNull() & ~n.shadowed, finding("JSON_SHAPE_DRIFT", n.path, "warning", "normalized", n.kind, shape, pairs_json(source_shape=n.kind, target_shape=shape))),
-            F.when(scalar.isNotNull() & ~n.shadowed, finding("JSON_TYPE_DRIFT", n.path, "warning", "normalized", n.text, none, pairs_json(source_type=n.kind, target_type=scalar))),
-        )
-
-    pairs = {p for own in drifted.values() for p in own}
-    odd = F.filter(nodes, lambda n: n.legacy.isNotNull() | F.coalesce(F.concat(n.pattern, F.lit(" "), n.kind).isin(*pairs), F.lit(False)))
-    drift = F.flatten(F.transform(odd, of))
-
-    def missing(f: Field) -> Column:
-        held = F.filter(nodes, lambda n: (n.pattern == f.parent) & ~n.shadowed)
-
-        def absent(n: Column) -> Column:
-            path = joined(n.path, f.key)
-            return F.when(~F.exists(nodes, lambda x: x.path == path), finding("JSON_MISSING_KEY", path, f.required, "flagged", none, none, pairs_json(key_absent=True)))
-
-        return F.transform(held, absent)
-
-    parts = [drift, *(missing(f) for f in schema if f.required)]
-    return F.coalesce(F.array_compact(F.concat(*parts)), empty)
+def walked(schema: list[Field], pattern: str, path: Column, value: Column, depth: int, keep: Keep) -> Column:
+    """The findings at and below a node that is there, as an array that may hold nulls."""
+    visited = prefixes(schema)
+    lists = {f.path for f in schema if f.kind == "array" and "object" in f.drifted}
+    renamed = {old if not f.parent else f"{f.parent}.{old}": f.key for f in schema for old in f.legacy}
+    below = lambda key: f"{pattern}.{key}" if pattern else key
+    found, parts = [F.lit(None).cast(f"struct<{FINDING}>")], []
+
+    drifted = {kind: f.kind for f in schema if f.path == pattern for kind in f.drifted}
+    name = keep(F.schema_of_variant(value), depth + 1) if drifted else None
+    for kind, wanted in drifted.items():
+        if wanted in ("array", "object"):
+            shape = finding("JSON_SHAPE_DRIFT", path, "warning", "normalized", kind, wanted, source_shape=kind, target_shape=wanted)
+        else:
+            shape = finding("JSON_TYPE_DRIFT", path, "warning", "normalized", F.try_variant_get(value, "$", "string"), None, source_type=kind, target_type=wanted)
+        found.append(F.when(is_kind(name, kind), shape))
+
+    keys = dict.fromkeys(p.rpartition(".")[2] for p in sorted(visited) if p and not p.endswith("[*]") and p.rpartition(".")[0] == pattern)
+    for key in keys:
+        at = F.concat(path, F.lit(f".{key}")) if pattern else F.lit(key)
+        names = [] if below(key) in renamed else [key]
+        names += [old.rpartition(".")[2] for old, new in renamed.items() if old.rpartition(".")[0] == pattern and new == key]
+        held = {} if pattern in lists else {x: keep(child(value, x), depth + 1) for x in names}
+        first = held[key].isNotNull() if key in held else F.lit(False)
+        for x, v in held.items():
+            there = v.isNotNull()
+            if x != key:
+                found.append(F.when(there, finding("JSON_KEY_DRIFT", at, "warning", "normalized", x, key, legacy_key=x)))
+                there = there & ~first  # an old value beside the new one is looked at no further
+            parts.append(F.when(there, walked(schema, below(key), at, v, depth + 1, keep)))
+        absent = F.lit(True)
+        for v in held.values():
+            absent = absent & v.isNull()
+        found += [F.when(absent, finding("JSON_MISSING_KEY", at, f.required, "flagged", None, None, key_absent=True)) for f in schema if f.path == below(key) and f.required]
+
+    if f"{pattern}[*]" in visited:
+        elements = F.try_variant_get(value, "$", "array<variant>")
+        if pattern in lists:  # an object in the place of an array is its one element
+            elements = F.when(is_kind(name, "object"), F.array(value)).otherwise(elements)
+
+        def element(v: Column, i: Column) -> Column:
+            place = F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))
+            return walked(schema, f"{pattern}[*]", place, v, depth + 1, lambda x, _: x)
+
+        parts.append(F.flatten(F.transform(elements, element)))
+    none = F.array().cast(f"array<struct<{FINDING}>>")
+    return F.concat(F.array(*found), *(F.coalesce(p, none) for p in parts))
 
 
 def audit(docs: DataFrame, payload: str, schema: list[Field]) -> DataFrame:
@@ -159,13 +136,17 @@ def audit(docs: DataFrame, payload: str, schema: list[Field]) -> DataFrame:
     scalar), ``JSON_MISSING_KEY``. ``field_name`` is a path such as ``line_items[2].amount``. Documents that
     are null have no findings.
     """
-    root = node(F.lit(""), F.lit(""), F.col(payload), F.lit(None).cast("string"), F.lit(False))
-    level = uuid.uuid4().hex
-    depth = max(len(f.path.replace("[*]", ".[*]").split(".")) for f in schema)
-    rows = docs.filter(F.col(payload).isNotNull()).withColumn(f"{level}0", F.array(root))
-    for i in range(depth):  # a column for each level, so that none is computed twice
-        below = F.flatten(F.filter(F.transform(f"{level}{i}", lambda n: children(n, schema)), lambda x: x.isNotNull()))
-        rows = rows.withColumn(f"{level}{i + 1}", F.coalesce(below, F.array().cast(rows.schema[f"{level}0"].dataType)))
-    known = [F.transform(f"{level}{i}", lambda n: seen(n, schema)) for i in range(depth + 1)]
-    rows = rows.withColumn(level, reduce(F.concat, known))
-    return rows.select(*(c for c in docs.columns if c != payload), F.inline(findings(F.col(level), schema)))
+    mark = uuid.uuid4().hex
+    levels: dict[int, list[Column]] = {}
+
+    def keep(x: Column, depth: int) -> Column:
+        made = levels.setdefault(depth, [])
+        made.append(x.alias(f"{mark}_{depth}_{len(made)}"))
+        return F.col(f"{mark}_{depth}_{len(made) - 1}")
+
+    found = walked(schema, "", F.lit(""), F.col(payload), 0, keep)
+    rows = docs.filter(F.col(payload).isNotNull())
+    for depth in sorted(levels):  # level by level, so that no value is looked up twice
+        rows = rows.select("*", *levels[depth])
+    # not a column first: Spark would filter by its size below all else, and compute it twice
+    return rows.select(*(c for c in docs.columns if c != payload), F.inline(F.array_compact(found)))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimforge.llm import subword
-from claimforge.llm.common import store
+from claimforge.llm.common import slices, store
 
 SIZE = 2048
 
@@ -167,9 +167,9 @@ def pieces(docs: DataFrame, vocabulary: str, size: int, end_id: int, doc_id: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, ranks = TaskContext.get().partitionId(), [0] * (size + 1)
-        for batch in batches:
+        for batch, texts in (part for whole in batches for part in slices(whole, whole.column(1))):
             rows = []
-            for key, value in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            for key, value in zip(batch.column(0), texts, strict=True):
                 ids = np.append(subword.encode(vocabulary, value), end_id).astype("<u4")
                 end = len(ids) % size or size
                 start = 0

@@ -42,7 +42,7 @@ SMALL = 200_000
 PAIRS = 20_000
 GRAM = 6
 #: n-grams that are hashed at a time, and that one byte can count.
-BLOCK, MOST = 1 << 16, 255
+BLOCK, MOST = 1 << 14, 255
 
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 STRIP = " \t\r\n\x0b\x0c" + PUNCTUATION
@@ -153,11 +153,13 @@ def bucket_rows(nodes: DataFrame, similarity: float, tables: tuple[int, ...]) ->
 
     The entries of a task come sorted by bucket and are read as a stream: each is compared with the first
     of its bucket and the ``PREVIOUS`` just before it, which is all if the bucket has no more than these.
-    Larger buckets are given back as well, for :func:`crossing_pairs`.
+    Larger buckets are given back as well, for :func:`crossing_pairs`. Nodes that meet in many tables are
+    a pair in the first of these only: there they are one of a small bucket's pairs, or given back.
     """
     low, high = F.col("low"), F.col("high")
     keys = [F.shiftleft(F.lit(t).cast("long"), 2 * WIDTH).bitwiseOR(F.shiftleft(block(low, high, TABLES[t][0]), WIDTH)).bitwiseOR(block(low, high, TABLES[t][1])) for t in tables]
     names = ["key", "node", "low", "high", "chars"]
+    table_of = np.array(TABLES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.empty(0, np.int64)] * 6  # of the open bucket the first and the last rows, with their numbers
@@ -179,9 +181,15 @@ def bucket_rows(nodes: DataFrame, similarity: float, tables: tuple[int, ...]) ->
             last = np.repeat(nth[ends], np.diff(np.append(head, n)))
 
             def close(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-                differ = np.bitwise_count((low[i] ^ low[j]).view(np.uint64)).astype(np.int32) + np.bitwise_count((high[i] ^ high[j]).view(np.uint64))
+                words = low[i] ^ low[j], high[i] ^ high[j]
+                differ = np.bitwise_count(words[0].view(np.uint64)).astype(np.int32) + np.bitwise_count(words[1].view(np.uint64))
                 x, y = chars[i], chars[j]
-                return (differ <= DISTANCE) & (np.minimum(x, y) >= np.maximum(x, y) * similarity - 1e-9)
+                one, two = table_of[key[i] >> 2 * WIDTH].T
+                met = np.zeros(len(i), bool)  # in a table before this one
+                for k in range(N_BLOCKS):
+                    alike = (words[k // IN_LOW] >> k % IN_LOW * WIDTH) & ((1 << WIDTH) - 1) == 0
+                    met |= alike & (k < two) & (k != one)
+                return ~met & (differ <= DISTANCE) & (np.minimum(x, y) >= np.maximum(x, y) * similarity - 1e-9)
 
             new = np.arange(fresh, n)
             far = new[nth[fresh:] > PREVIOUS]
@@ -294,10 +302,10 @@ def similar_pairs(pairs: DataFrame, n: int, similarity: float) -> DataFrame:
 def node_texts(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(node, line) for stored ``nodes`` with the row and the place of their first occurrence."""
     wanted = store(nodes.groupBy("first.dh", "first.th").agg(F.collect_list(F.struct(F.col("first.pos").alias("pos"), "node")).alias("at")), "wanted")
-    keyed = docs.select(*row_key(doc_id, text), F.split(F.col(text), "\n").alias("all"))
+    keyed = docs.select(*row_key(doc_id, text), F.col(text).alias("text"))
     texts = store(
         keyed.join(sided(wanted, nodes.count()), ["dh", "th"])
-        .select("all", F.explode("at").alias("at"))
+        .select(F.split("text", "\n").alias("all"), F.explode("at").alias("at"))
         .select("at.node", F.array_join(words(F.element_at("all", F.col("at.pos") + 1)), " ").alias("line"))
         .dropDuplicates(["node"]),
         "line-texts",

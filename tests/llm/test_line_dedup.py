@@ -199,3 +199,21 @@ def test_buckets_of_any_size_over_any_batches(spark, cut):
     pairs = {(min(r.node, r.mate), max(r.node, r.mate)) for r in got if r.mate is not None}
     want = {(a, b) for g in groups for b in g for a in g if a < b and (b - a <= m.PREVIOUS or a == g[0])}
     assert pairs == want
+
+
+def test_a_pair_is_met_in_one_table_only(spark):
+    """Nodes alike in all blocks or some of them are pairs once, not in each of the tables; twice the nodes give twice the rows."""
+    from claimforge.llm import line_dedup as m
+
+    rng = random.Random(5)
+    sizes = {}
+    for n in (100, 200):
+        low, high = rng.getrandbits(m.IN_LOW * m.WIDTH), rng.getrandbits((m.N_BLOCKS - m.IN_LOW) * m.WIDTH)
+        rows = [(i, low ^ (1 << rng.randrange(2 * m.WIDTH) if i % 3 == 0 else 0), high, 100) for i in range(n)]
+        df = spark.createDataFrame(rows, "node long, low long, high long, chars int")
+        found = [(r.node, r.mate) for r in m.bucket_rows(df, 0.8, tuple(range(len(m.TABLES)))).collect()]
+        pairs = [p for p in found if p[1] is not None]
+        assert len(pairs) == len(set(pairs))
+        assert {i for p in pairs for i in p} == set(range(n))
+        sizes[n] = len(found)
+    assert sizes[200] < 2.2 * sizes[100]

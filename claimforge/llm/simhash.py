@@ -93,7 +93,8 @@ def links(fps: DataFrame, fp: str = "fp", distance: int = DISTANCE) -> DataFrame
     near = fps.select(F.col(fp).alias("a"), F.explode(anchors(F.col(fp))).alias("anchor"))
     other = near.select(F.col("a").alias("b"), F.col("anchor").alias("other"))
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    return near.join(other, (F.col("anchor") == F.col("other")) & (F.col("a") < F.col("b")) & close).select("a", "b")
+    # Spark sizes the 33 rows of a fingerprint as one and would broadcast them
+    return near.join(other.hint("merge"), (F.col("anchor") == F.col("other")) & (F.col("a") < F.col("b")) & close).select("a", "b")
 
 
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:

@@ -61,6 +61,12 @@ def test_anchors_cover(spark):
     assert got == {frozenset(p) for p in close}
 
 
+def test_anchors_are_not_broadcast(spark):
+    """Spark sized the 33 rows that explode makes of a fingerprint as one row and broadcast them all."""
+    plan = links(spark.range(1000).select(F.xxhash64("id").alias("fp")))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def components(rows):
     """The least id that each row reaches, by a search over all pairs."""
     fps = [plain(t) for _, t in rows]

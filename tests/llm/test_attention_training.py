@@ -1,9 +1,11 @@
 """The attention learns from all windows of all training documents, and its gradient is that of its loss."""
 
+from types import SimpleNamespace
+
 import numpy as np
 
-from claimforge.llm import subword
-from claimforge.llm.attention_lm import EDGE, NONE, STRIDE, Attention, cut_windows, fit, id_counts, long_windows
+from claimforge.llm import attention_lm, subword
+from claimforge.llm.attention_lm import CONTEXT, DIM, EDGE, MEMBERS, NONE, STRIDE, Attention, cut_windows, fit, id_counts, lm_scores, long_windows
 
 
 def test_documents_outside_the_start_are_learnt(spark):
@@ -45,3 +47,37 @@ def test_gradient_is_that_of_the_loss():
             losses.append(-model.forward(x, y).sum() / (y >= 0).sum())
         v[i] = old
         assert np.isclose((losses[0] - losses[1]) / 2e-2, g[name][i], rtol=0.05, atol=1e-4), name
+
+
+def test_texts_are_encoded_once(spark, monkeypatch):
+    """Each pass over the texts encoded them anew: the counts, the rounds and the scores."""
+    made = spark.sparkContext.accumulator(0)
+    plain = attention_lm.subword.encode
+
+    def counted(path, text):
+        made.add(1)
+        return plain(path, text)
+
+    monkeypatch.setattr(attention_lm, "subword", SimpleNamespace(encode=counted, load=subword.load, default_path=subword.default_path))
+    rows = spark.createDataFrame([(i, f"alpha beta {i}") for i in range(40)], "doc_id long, text string")
+    assert lm_scores(rows, steps=2).count() == 40 and made.value == 40
+
+
+def test_core_equals_its_definition():
+    """Keys and values from tables of ids, and the softmax in parts, against one position at a time in doubles."""
+    rng = np.random.default_rng(4)
+    model = Attention(np.ones(60))
+    x, y, _ = model.windows([model.local[rng.integers(0, 50, n)] for n in (3, 40, 2_100)])
+    got, p = model.forward(x, y), {k: v.astype(float) for k, v in model.p.items()}
+    for w in (0, 1, 3, len(x) - 1):
+        h = p["E"][x[w]] + p["P"]
+        for t in np.flatnonzero(y[w] >= 0):
+            at = CONTEXT + t
+            last = h[at] + p["E1"][x[w, at - 1]] + p["E2"][x[w, at - 2]]
+            seen = np.flatnonzero(x[w, : at + 1] != model.pad)
+            a = np.exp(last @ p["Q"] @ (h[seen] @ p["K"]).T * DIM**-0.5)
+            out = last + (a / a.sum()) @ h[seen] @ p["V"] @ p["O"]
+            group, member = divmod(int(y[w, t]), MEMBERS)
+            first, second = out @ p["C"] + p["c"], out @ p["M"][group] + p["m"][group]
+            want = first[group] - np.log(np.exp(first).sum()) + second[member] - np.log(np.exp(second).sum())
+            assert np.isclose(got[w, t], want, rtol=1e-4)

@@ -81,3 +81,10 @@ def test_core_equals_its_definition():
             first, second = out @ p["C"] + p["c"], out @ p["M"][group] + p["m"][group]
             want = first[group] - np.log(np.exp(first).sum()) + second[member] - np.log(np.exp(second).sum())
             assert np.isclose(got[w, t], want, rtol=1e-4)
+
+
+def test_ids_give_the_text_back():
+    """Words to score are read from the ids."""
+    path = subword.default_path()
+    for t in ("", " \t\n\r ", "é\u0000 日本語 ￿", "a<|endoftext|> B", "İ ÀÉ ß " * 50):
+        assert subword.load(path).decode_bytes(subword.encode(path, t).tolist()) == t.encode()
